@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import simhash
+from quernstone.llm import langid, quality, simhash
 from quernstone.llm.common import table
 
 
@@ -14,5 +14,17 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_simhash": op3_simhash}
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", F.coalesce(~langid.learnable(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", F.coalesce(~quality.learnable(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {"op3_simhash": op3_simhash, "op5_language": op5_language, "op9_quality": op9_quality}
 ORACLE_SQL: dict[str, str] = {}
