@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import langid, packing, quality, sharding, simhash, topk
+from quernstone.llm import decontam, langid, packing, quality, sharding, simhash, topk
 from quernstone.llm.common import table
 
 
@@ -36,18 +36,30 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.score(docs.select("doc_id", "text"), quality.fit(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", F.coalesce(~quality.learnable(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
     "op5_language": op5_language,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
 }
 ORACLE_SQL: dict[str, str] = {
