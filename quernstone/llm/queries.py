@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import decontam, langid, packing, quality, sharding, simhash, topk
+from quernstone.llm import chat, decontam, langid, packing, quality, sharding, simhash, topk, urls
 from quernstone.llm.common import table
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -46,6 +50,29 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(~quality.learnable(), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables have neither fetch times nor lists: both come from the pages by a rule, as in the SQL."""
+    pages = table(spark, sf_dir, "pages")
+    captures = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("day"))
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct()
+    hosts = hosts.withColumn("x", F.conv(F.substring(F.md5("host"), 1, 4), 16, 10).cast("int")).withColumn("parent", F.expr("substr(host, instr(host, '.') + 1)"))
+    rule = "inline(array({}))".format(", ".join(f"struct('{name}' AS list, {key} AS key, '{action}' AS action, date_add(date'2024-01-01', {day}) AS day, {where} AS used)" for name, key, action, day, where in DATED))
+    return urls.verdicts(captures, hosts.selectExpr(rule).filter("used").drop("used"))
+
+
+#: Dated list entries by rule: list, key, action, day of the year 2024 and condition, of a host's parent and hash x.
+DATED = [
+    ("spam", "host", "add", "x % 300", "x % 3 = 0"),
+    ("spam", "host", "remove", "x % 300 + 20 + x % 50", "x % 3 = 0"),
+    ("spam", "host", "add", "x % 300 + 100", "x % 6 = 0"),
+    ("malware", "host || '/en'", "add", "x % 200", "x % 4 = 1"),
+    ("malware", "host || '/en'", "remove", "x % 200 + 90", "x % 4 = 1"),
+    ("allow", "parent", "add", "x % 365", "x % 5 = 2"),
+    ("adult", "parent", "add", "x % 120", "x % 7 = 3"),
+    ("adult", "parent", "remove", "x % 120 + 60", "x % 7 = 3"),
+]
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -53,6 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat": op1_chat,
     "pipeline": pipeline,
     "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
@@ -61,8 +89,27 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
+    "op10_urls": op10_urls,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat": """
+WITH said AS (
+  SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker, replace(coalesce(text, ''), '<|', '< |') AS message
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM said WHERE speaker <> 'system'),
+seen AS (
+  SELECT said.*, perspective, speaker = perspective AS learn,
+         CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user' END AS chat_role,
+         CASE WHEN speaker = perspective THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
+              ELSE '<|user name=' || speaker || '|>' END || chr(10) || message || '<|end|>' || chr(10) AS segment
+  FROM said JOIN people ON said.conv_id IS NOT DISTINCT FROM people.conv_id),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+         CAST(sum(length(segment)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS "end"
+  FROM seen WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS LAST, speaker, message))
+SELECT conv_id, perspective, position, turn, speaker, chat_role, segment, "end" - length(segment) AS start, "end", learn,
+       CASE WHEN learn THEN "end" - length(segment) + 14 END AS learn_start, CASE WHEN learn THEN "end" END AS learn_end
+FROM placed""",
     "op2_topk": """
 WITH codes AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
@@ -76,4 +123,31 @@ scored AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5""",
+    "op10_urls": """
+WITH seen AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS day, count(*) AS copies,
+         regexp_replace(lower(regexp_replace(regexp_extract(url, '^(?i:[a-z][a-z0-9+.-]*:)?//([^/?#\\\\]*)', 1), '^.*@', '')), '\\.?(:[0-9]*)?$', '') AS host,
+         regexp_extract(url, '^(?i:[a-z][a-z0-9+.-]*:)?//[^/?#\\\\]*([^?#]*)', 1) AS path
+  FROM pages GROUP BY page_id, url),
+hosts AS (
+  SELECT DISTINCT host, CAST('0x' || substr(md5(host), 1, 4) AS INTEGER) AS x, substr(host, instr(host, '.') + 1) AS parent
+  FROM seen WHERE host <> ''),
+entries AS (
+  """ + " UNION ALL ".join(f"SELECT '{name}' AS list, {key} AS key, '{action}' AS action, DATE '2024-01-01' + CAST({day} AS INTEGER) AS day FROM hosts WHERE {where}" for name, key, action, day, where in DATED) + """),
+days AS (SELECT list, key, day, bool_or(action = 'add') AS valid FROM entries GROUP BY ALL),
+named AS (
+  SELECT page_id, url, day, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda k: array_to_string(string_split(host, '.')[k:], '.'))) AS key
+  FROM seen WHERE host <> ''
+  UNION ALL
+  SELECT page_id, url, day, host || regexp_extract(path, '^/[^/]+') FROM seen WHERE host <> '' AND regexp_extract(path, '^/[^/]+') <> ''),
+latest AS (
+  SELECT n.page_id, n.url, n.day, d.list, n.key, arg_max(d.valid, d.day) AS valid
+  FROM named n JOIN days d ON n.key = d.key AND d.day <= n.day GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id, url, day ORDER BY length(key) DESC, list = 'allow' DESC, list DESC) AS r,
+         count(*) OVER (PARTITION BY page_id, url, day) AS n
+  FROM latest WHERE valid)
+SELECT s.page_id, s.url, s.day, s.copies, coalesce(r.n, 0) AS n_active, r.list AS matched_list, r.key AS matched_key,
+       coalesce(r.list <> 'allow', false) AS blocked
+FROM seen s LEFT JOIN ranked r ON r.r = 1 AND s.page_id = r.page_id AND s.url = r.url AND s.day = r.day""",
 }
