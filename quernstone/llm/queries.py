@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import chat, decontam, langid, packing, quality, sharding, simhash, topk, urls
+from quernstone.llm import chat, decontam, langid, licenses, packing, quality, sharding, simhash, topk, urls
 from quernstone.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "detections")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
@@ -84,6 +88,7 @@ QUERIES = {
     "pipeline": pipeline,
     "op2_topk": op2_topk,
     "op3_simhash": op3_simhash,
+    "op4_licenses": op4_licenses,
     "op5_language": op5_language,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
