@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -14,13 +14,24 @@ from pyspark.sql import DataFrame
 
 #: Words whose ids a worker remembers, and the longest word that it does.
 MEMO_WORDS, MEMO_BYTES = 1 << 18, 48
+#: Punctuation that a word may end with.
+TAIL = b".,;:!?"
+
+
+def _byte_chars() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is visible Latin-1."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
 class WordTokens:
     """Token ids of whole texts, by way of the words between ASCII white space.
 
-    The tokenizer never joins what white space separates, so a word's ids don't depend on its neighbours and a
-    word that was seen before needs no second encoding. The memory of words is emptied when it is full.
+    The tokenizer lowers case and never joins what white space separates, so a word's ids don't depend on its
+    neighbours and a word that was seen before needs no second encoding. It parts letters from punctuation too;
+    so a word of letters alone goes straight to the tokenizer's model, and its closing punctuation is a word of
+    its own. All other words take the tokenizer's whole way. The memory of words is emptied when it is full.
     """
 
     def __init__(self, path: str):
@@ -29,21 +40,42 @@ class WordTokens:
 
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
-        self.memo: dict[bytes, list[int]] = {}
+        self.model, self.chars = self.encoder.model, _byte_chars()
+        self.memo: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes, end: int) -> np.ndarray:
-        words, memo = text.split(), self.memo
-        fresh = list(set(words) - memo.keys())
-        if fresh:
-            if len(memo) + len(fresh) > MEMO_WORDS:
-                memo.clear()
-                fresh = list(set(words))
-            memo.update(zip(fresh, (e.ids for e in self.encoder.encode_batch([w.decode() for w in fresh], add_special_tokens=False))))
-        found = np.fromiter(chain(chain.from_iterable(map(memo.__getitem__, words)), (end,)), "<u4")
-        for w in fresh:
-            if len(w) > MEMO_BYTES:
-                del memo[w]
-        return found
+        """The ids of the text, and ``end``."""
+        words, memo = text.lower().split(), self.memo
+        if len(memo) > MEMO_WORDS:
+            memo.clear()
+        long = {}
+        for w in {w for w in words if w not in memo}:
+            (memo if len(w) <= MEMO_BYTES else long)[w] = self._encode(w)
+        if long:
+            memo = memo | long
+        return np.frombuffer(b"".join([*map(memo.__getitem__, words), np.uint32(end).tobytes()]), "<u4")
+
+    def _encode(self, word: bytes) -> bytes:
+        core = word.rstrip(TAIL)
+        if core != word and core and (head := self._letters(core)) is not None:
+            return head + self._whole(word[len(core) :])
+        head = self._letters(word)
+        return self._whole(word) if head is None else head
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """The ids of a word of letters; None for other words."""
+        if word in self.memo:
+            return self.memo[word] if word.decode().isalpha() else None
+        text = word.decode()
+        if not word.isascii():
+            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+        if not text.isalpha():
+            return None
+        shown = text if word.isascii() else "".join([self.chars[b] for b in text.encode()])
+        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+
+    def _whole(self, word: bytes) -> bytes:
+        return np.array(self.encoder.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
 class Piece(NamedTuple):

@@ -109,6 +109,7 @@ def test_packing_edges(spark):
 
 def test_tokens_do_not_depend_on_memory(spark, sf_dir):
     texts = [r.text for r in table(spark, sf_dir, "documents").collect()]
+    texts += ["Ünïcode, ÉCOLE; straße!? İstanbul ΣΑΣ ﬁne क़ e\u0301cole cafe\u0301. \u0301x a\u0300, x\u00a0y z\u2003w \x1c\x85 v", "don't I'LL it's, 'tis ''s s' 12th 3.14, 2nd. a1b2 (foo), foo), ...", "日本語 テスト。 ½ Ⅷ ª ʰa 𝒳 😀!! a😀", ",", "?! .", "<|endoftext|>. <|startoftext|>x"]
     w = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
     assert all(np.array_equal(w.ids(t.encode(), 2), want) for t, want in zip(texts, tokens(texts)))
 
