@@ -400,12 +400,12 @@ def dialect_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def recover_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as bare text, with marks after every vowel of all words but each fifth as the marked one."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    """Turns of talk as bare text, with marks after every vowel of all words but each fifth as the marked one."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "text")
     words = text.tokens(F.col("text"))
-    marked = F.array_join(F.filter(F.transform(words, lambda w: F.regexp_replace(w, "([aeiou])", "$1َ")), lambda _, i: i % 5 != 4), " ")
+    marked = F.array_join(F.filter(F.transform(words, lambda w: F.regexp_replace(w, "([aeiou])", "$1\u064e")), lambda _, i: i % 5 != 4), " ")
     found = rows.withColumn("r", alignment.recover_marks(F.col("text"), marked, F.lit(None).cast("string")))
-    return found.select("doc_id", F.crc32("r.text").alias("text_crc32"), F.round("r.coverage", 6).alias("coverage"))
+    return found.select("conv_id", "turn", F.crc32("r.text").alias("text_crc32"), F.round("r.coverage", 6).alias("coverage"))
 
 
 @query()

@@ -54,7 +54,7 @@ def measured(c: Column | str) -> Column:
 
 def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
     """``idx`` (from 0, in file order) and ``value`` of a line file; the file is one row, so keep it small."""
-    lines = spark.read.option("wholetext", "true").text(path).select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")))
     return lines.select(F.col("pos").alias("idx"), F.col("col").alias("value"))
 
 
@@ -83,7 +83,7 @@ def lexicon(spark: SparkSession, path: str | None, seed: list[str]) -> DataFrame
 
 
 def whole_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", "true").text(path).select(F.regexp_replace("value", r"(?U)^\s+|\s+\z", "").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"(?U)^\s+|\s+\z", "").alias("text"))
 
 
 def setting(spark: SparkSession, path: str, key: str) -> DataFrame:

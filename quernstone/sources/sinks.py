@@ -34,7 +34,7 @@ def write_lines(df: DataFrame, path: str, mode: str = "error") -> None:
 
 def write_chunks(df: DataFrame, path: str, mode: str = "error") -> None:
     """``idx``, ``dur``, ``kind`` and ``text``, tab-separated: two digits at least, seconds with two places."""
-    cols = (F.lpad(F.col("idx").cast("string"), 2, "0"), F.concat(F.format_number("dur", "0.00"), F.lit("s")), F.col("kind"), F.col("text"))
+    cols = (F.lpad(F.col("idx").cast("string"), 2, "0"), F.format_string("%.2fs", "dur"), F.col("kind"), F.col("text"))
     df.select(F.concat_ws("\t", *cols).alias("value")).write.mode(mode).text(path)
 
 
