@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from quernstone.functions.vectors import centroids, dot, norm
 from quernstone.sources.corpus import measured
 
+#: Columns of a written selection.
+SELECTION = ["audio_file", "speaker", "speaker_id", "video_id", "duration", "text", "text_tashkeel", "text_tashkeel_raw", "coverage", "squim_mos", "snr_db", "in_voice_core"]
 #: Lower and upper bounds of the pitch report's buckets; what lies at or above the last bound is left out.
 BUCKETS = [(0, 130), (130, 145), (145, 155), (155, 170), (170, 190), (190, 400)]
 
@@ -103,6 +105,11 @@ def selection(rows: DataFrame, vectors: DataFrame, budget: float = 25.0, toleran
     return with_core_flag(rows, chosen).join(dense_ids(rows), "speaker")
 
 
+def keep_selected(rows: DataFrame, chosen: DataFrame, key: str = "audio_file") -> DataFrame:
+    """Rows whose key was selected, with the selection's speaker; blobs are read only after this join."""
+    return rows.drop("speaker").join(chosen.select(key, "speaker"), key)
+
+
 def video_f0(rows: DataFrame, group: str = "video_id", floor: float = 155.0) -> DataFrame:
     """Count, quartiles and pitch band of each video's measured clips."""
     x = measured("f0_median")

@@ -66,6 +66,20 @@ def pitch_gate(rows: DataFrame, floor: float = 165.0) -> DataFrame:
     return rows.filter(~F.isnan("f0_speaker") & (F.col("f0_speaker") >= floor))
 
 
+def within_budget(tokens: str, budget: int = 510, frame: int = 2) -> Column:
+    """Whether a text's tokens and the ``frame`` ones around them fit a model's input."""
+    return F.coalesce(F.col(tokens) + frame <= budget, F.lit(False))
+
+
+def has_text(column: str) -> Column:
+    return F.coalesce(F.col(column) != "", F.lit(False))
+
+
+def filled(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with empty texts for null ones."""
+    return rows.withColumns({c: F.coalesce(c, F.lit("")) for c in columns})
+
+
 def audible(samples: str = "samples", peak: float = 1e-5) -> Column:
     """Whether the samples' peak reaches ``peak``."""
     return F.coalesce(F.array_max(F.transform(samples, lambda x: F.abs(x))) >= peak, F.lit(False))

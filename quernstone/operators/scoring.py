@@ -52,3 +52,9 @@ def wer_gate(rows: DataFrame, threshold: float | None = None) -> DataFrame:
     limit = float(os.environ.get("WER_ABORT", 0.35)) if threshold is None else threshold
     found = rows.agg(micro("word_edits", "words").alias("wer")).withColumn("threshold", F.lit(limit))
     return found.withColumn("abort", F.col("wer") > F.col("threshold"))
+
+
+def synthesis_report(rows: DataFrame, seconds: str = "seconds", duration: str = "dur") -> DataFrame:
+    """Pieces, the median time taken for a second of sound, and the longest piece."""
+    factor = F.col(seconds) / F.greatest(F.col(duration), F.lit(1e-6))
+    return rows.agg(F.count("*").alias("pieces"), F.median(factor).alias("median_rtf"), F.max(duration).alias("longest"))

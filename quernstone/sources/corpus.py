@@ -18,8 +18,15 @@ MANIFEST = "audio_file string, video_id string, speaker string, shard string, st
 FEATURES = "audio_file string, speaker string, f0_median double, ecapa array<double>"
 
 
-def shards(spark: SparkSession, root: str, split: str, schema: str | None = MANIFEST, skip_bad: bool = False) -> DataFrame:
-    """The shards ``{split}-*.parquet`` below ``root``, projected on ``schema``.
+def shard_paths(spark: SparkSession, root: str, split: str, limit: int | None = None) -> list[str]:
+    """The shards ``{split}-*.parquet`` below ``root`` in order of name, ``limit`` of them at most."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"{split}-*.parquet").option("recursiveFileLookup", "true").load(root)
+    names = files.select("path").orderBy("path")
+    return [r.path for r in (names if limit is None else names.limit(limit)).collect()]
+
+
+def shards(spark: SparkSession, root: str | list[str], split: str, schema: str | None = MANIFEST, skip_bad: bool = False) -> DataFrame:
+    """The shards ``{split}-*.parquet`` below ``root`` (or of a list of paths), projected on ``schema``.
 
     A column that a shard, or every shard, lacks is null there. With ``skip_bad``, unreadable and vanished files
     are passed over; ``shard_audit`` tells which. Null floats stay null, NaN too: see ``measured``.
@@ -27,7 +34,8 @@ def shards(spark: SparkSession, root: str, split: str, schema: str | None = MANI
     reader = spark.read.option("pathGlobFilter", f"{split}-*.parquet").option("recursiveFileLookup", "true")
     if skip_bad:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    return reader.schema(schema).parquet(root) if schema else reader.option("mergeSchema", "true").parquet(root)
+    paths = [root] if isinstance(root, str) else root
+    return reader.schema(schema).parquet(*paths) if schema else reader.option("mergeSchema", "true").parquet(*paths)
 
 
 def shard_audit(spark: SparkSession, root: str, split: str, schema: str = MANIFEST) -> DataFrame:
@@ -74,6 +82,24 @@ def scored_lines(spark: SparkSession, sentences: str, categories: str | None = N
     return refs.join(named, "idx", "left").withColumn("category", F.coalesce("category", F.lit("all")))
 
 
+def default_set(spark: SparkSession, sentences: list[str]) -> DataFrame:
+    """``idx``, ``category`` (``all``) and ``text`` of sentences given in code, for want of a file."""
+    return spark.createDataFrame([(k, "all", t) for k, t in enumerate(sentences)], "idx int, category string, text string")
+
+
+def with_hypotheses(refs: DataFrame, hyps: DataFrame) -> DataFrame:
+    """References and hypotheses of equal ``idx``; a reference without one is left out."""
+    return refs.join(hyps, "idx")
+
+
+def last_losses(spark: SparkSession, path: str) -> DataFrame:
+    """``loss``, ``disc_loss`` and ``gen_loss`` of a log's last step line; no row if there is none."""
+    lines = indexed_lines(spark, path).filter(F.col("value").rlike(r"Step \["))
+    last = lines.orderBy(F.desc("idx")).limit(1)
+    number = lambda name: F.regexp_extract("value", rf"{name}: ([0-9.]+)", 1)
+    return last.select(*(F.when(x != "", x.cast("double")).alias(n) for n, x in (("loss", number(r"(?<!Disc )(?<!Gen )\bLoss")), ("disc_loss", number("Disc Loss")), ("gen_loss", number("Gen Loss")))))
+
+
 def lexicon(spark: SparkSession, path: str | None, seed: list[str]) -> DataFrame:
     """Distinct ``word`` skeletons of a seed and of a file with a word a line and comments after ``#``."""
     words = spark.createDataFrame([(w,) for w in seed], "value string")

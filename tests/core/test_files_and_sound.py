@@ -34,6 +34,8 @@ def test_shards_with_missing_columns_and_bad_files(spark, tmp_path):
     got = corpus.shards(spark, str(d), "train")
     assert sorted((r.audio_file, r.duration, r.snr_db, r.text) for r in got.collect()) == [("a", 1.0, None, None), ("b", None, 2.0, None)]
     assert "extra" in corpus.shards(spark, str(d), "train", None).columns
+    first = corpus.shard_paths(spark, str(d), "train", 1)
+    assert len(first) == 1 and corpus.shards(spark, first, "train").first().audio_file == "a"
     (d / "train-2.parquet").write_bytes(b"not parquet")
     assert corpus.shards(spark, str(d), "train", skip_bad=True).count() == 2
     audit = {r.path.rsplit("/", 1)[1]: r.rows for r in corpus.shard_audit(spark, str(d), "train").collect()}
@@ -53,6 +55,10 @@ def test_line_files(spark, tmp_path):
     (tmp_path / "w.txt").write_text(" a\nb \n", encoding="utf-8")
     assert corpus.whole_text(spark, str(tmp_path / "w.txt")).first().text == "a\nb"
     (tmp_path / "c.yml").write_text("log_dir: out/x  # c\nother: 1\n", encoding="utf-8")
+    (tmp_path / "log").write_text("Step [1] Loss: 9.0, Disc Loss: 1.0, Gen Loss: 2.0\nStep [2] Loss: 0.5, Disc Loss: 1.5, Gen Loss: 2.5\ndone\n", encoding="utf-8")
+    assert tuple(corpus.last_losses(spark, str(tmp_path / "log")).first()) == (0.5, 1.5, 2.5)
+    hyps = spark.createDataFrame([(1, "h")], "idx int, hyp string")
+    assert [(r.idx, r.hyp) for r in corpus.with_hypotheses(corpus.default_set(spark, ["a", "b"]), hyps).collect()] == [(1, "h")]
     assert corpus.setting(spark, str(tmp_path / "c.yml"), "log_dir").first().value == "out/x"
 
 
@@ -65,6 +71,8 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     sinks.write_chunks(spark.createDataFrame([(3, 1.5, "stop", "a b")], "idx int, dur double, kind string, text string"), str(tmp_path / "c"))
     assert spark.read.text(str(tmp_path / "c")).first().value == "03\t1.50s\tstop\ta b"
+    sinks.write_aligned(corpus.default_set(spark, ["x"]), str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).columns == ["idx", "text", "category"]
     sinks.rewrite_marks(spark.createDataFrame([("\u0634\u064e\u0651",)], "value string"), str(tmp_path / "m"))
     assert spark.read.text(str(tmp_path / "m")).first().value == "\u0634\u0651\u064e"
 

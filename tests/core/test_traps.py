@@ -175,3 +175,13 @@ def test_reference_join_and_preflight(spark):
     got = {r.metric: r.ref for r in verdicts.against_reference(run, ref).collect()}
     assert got["a"] == 3.0 and got["b"] != got["b"]
     assert verdicts.preflight(spark.createDataFrame([(True,), (None,)], "ok boolean")).first().passed is False
+
+
+def test_small_helpers(spark):
+    rows = spark.createDataFrame([("a", None, 508, 2.0, 1.0), ("b", "", 509, 9.0, 3.0)], "audio_file string, text string, tokens int, seconds double, dur double")
+    assert [r[0] for r in rows.select(quality.within_budget("tokens")).collect()] == [True, False]
+    assert [r[0] for r in rows.select(quality.has_text("text")).collect()] == [False, False]
+    assert [r.text for r in quality.filled(rows, "text").collect()] == ["", ""]
+    assert tuple(scoring.synthesis_report(rows).first()) == (2, 2.5, 3.0)
+    chosen = spark.createDataFrame([("b", "s")], "audio_file string, speaker string")
+    assert [(r.audio_file, r.speaker) for r in cohort.keep_selected(rows, chosen).collect()] == [("b", "s")]
