@@ -146,15 +146,15 @@ def dense_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     WITH
-    + """, train AS (SELECT DISTINCT video_id AS speaker FROM features WHERE f0_median < 200), val AS (SELECT DISTINCT video_id AS speaker FROM features WHERE f0_median > 300 OR audio_file LIKE '%7'),
+    + """, train AS (SELECT DISTINCT video_id AS speaker FROM features WHERE f0_median < 100), val AS (SELECT DISTINCT video_id AS speaker FROM features WHERE f0_median > 200 OR audio_file LIKE '%7'),
 ids AS (SELECT speaker, row_number() OVER (ORDER BY speaker) - 1 AS id FROM train)
 SELECT speaker, CAST(id AS INTEGER) AS speaker_id FROM ids UNION ALL
 SELECT speaker, CAST((SELECT count(*) FROM ids) + row_number() OVER (ORDER BY speaker) - 1 AS INTEGER) FROM (SELECT speaker FROM val EXCEPT SELECT speaker FROM train)"""
 )
 def append_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.features(spark, sf_dir).select(F.col("video_id").alias("speaker"), "f0_median", "audio_file")
-    ids = cohort.dense_ids(rows.filter(~F.isnan("f0_median") & (F.col("f0_median") < 200)))
-    return cohort.append_ids(ids, rows.filter((F.col("f0_median") > 300) | F.col("audio_file").like("%7")))
+    ids = cohort.dense_ids(rows.filter(~F.isnan("f0_median") & (F.col("f0_median") < 100)))
+    return cohort.append_ids(ids, rows.filter((F.col("f0_median") > 200) | F.col("audio_file").like("%7")))
 
 
 @query(WITH + "SELECT audio_file, speaker, f0_median FROM features WHERE NOT isnan(f0_median) QUALIFY row_number() OVER (PARTITION BY speaker ORDER BY audio_file) <= 40")
@@ -257,7 +257,7 @@ CORE = (
     + f""", cents AS {_centroids("speaker", "parts", "1e-9")}, both_ AS (SELECT * FROM profile JOIN cents USING (speaker)),
 seed AS (SELECT * FROM both_ ORDER BY hours * coalesce(squim, 0) DESC NULLS LAST, speaker LIMIT 1),
 cand AS (SELECT b.speaker, b.hours, b.f0, {DOT.format(a="b.c", b="s.c")} AS cos FROM both_ b JOIN seed s ON abs(b.f0 - s.f0) <= 15),
-core AS (SELECT *, coalesce(sum(hours) OVER (ORDER BY cos DESC, speaker ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS hours_before FROM cand QUALIFY hours_before < 0.02)"""
+core AS (SELECT *, coalesce(sum(hours) OVER (ORDER BY cos DESC, speaker ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS hours_before FROM cand QUALIFY hours_before < 0.2)"""
 )
 
 
@@ -269,7 +269,7 @@ def argmax_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CORE + " SELECT speaker, round(hours, 6) AS hours, round(f0, 6) AS f0, round(cos, 6) AS cos, round(hours_before, 6) AS hours_before FROM core")
 def greedy_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(cohort.voice_core(_joined(spark, sf_dir), views.vectors(spark, sf_dir), budget=0.02).select("speaker", "hours", "f0", "cos", "hours_before"))
+    return rounded(cohort.voice_core(_joined(spark, sf_dir), views.vectors(spark, sf_dir), budget=0.2).select("speaker", "hours", "f0", "cos", "hours_before"))
 
 
 @query(
@@ -278,7 +278,7 @@ def greedy_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM good g LEFT JOIN core ON g.speaker = core.speaker"""
 )
 def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = cohort.selection(_joined(spark, sf_dir), views.vectors(spark, sf_dir), budget=0.02)
+    found = cohort.selection(_joined(spark, sf_dir), views.vectors(spark, sf_dir), budget=0.2)
     return found.select("audio_file", "speaker", "speaker_id", "video_id", "duration", "in_voice_core")
 
 

@@ -18,10 +18,10 @@ SELECT CAST(d.doc_id AS {string}) AS audio_file, d.source AS speaker, d.lang AS
        CASE WHEN l.toxic IS NOT NULL THEN l.toxic = 1 END AS boundary_clipped
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
-#: Features: an event's value as its clip's pitch, every tenth of them not measured (NaN).
+#: Features: an event's value and user as its clip's pitch, every tenth of them not measured (NaN).
 FEATURES = """
 SELECT CAST(event_id AS {string}) AS audio_file, concat('src', user_id % 20) AS speaker, concat('v', user_id) AS video_id,
-       CASE WHEN event_id % 10 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END AS f0_median
+       CASE WHEN event_id % 10 = 0 THEN CAST('NaN' AS DOUBLE) ELSE 60.0D + value / 4.0D + 8 * (user_id % 20) END AS f0_median
 FROM events"""
 
 #: Speakers' vectors: twenty speakers over the embeddings.
