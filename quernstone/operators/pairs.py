@@ -13,6 +13,12 @@ from quernstone.functions.vectors import centroids, dot, l2_normalize
 DECIMALS = 6
 
 
+def _codes(a: list, b: list) -> tuple[np.ndarray, np.ndarray]:
+    """Equal numbers for equal values of two lists."""
+    number = {v: k for k, v in enumerate(dict.fromkeys([*a, *b]))}
+    return np.array([number[v] for v in a]), np.array([number[v] for v in b])
+
+
 def cosine_counts(rows: DataFrame, key: str, group: str, vector: str, block: int = 1024) -> DataFrame:
     """``scope`` (``within`` or ``across`` groups), ``cos`` and ``n``: how many ordered pairs have that cosine.
 
@@ -29,7 +35,7 @@ def cosine_counts(rows: DataFrame, key: str, group: str, vector: str, block: int
         scope, cos, count = [], [], []
         if x.num_rows and y.num_rows:
             p, q = (np.stack(t["v"].to_pylist()).astype(np.float64) for t in (x, y))
-            (xk, yk), (xg, yg) = ((np.array(x[c].to_pylist(), object), np.array(y[c].to_pylist(), object)) for c in ("key", "grp"))
+            (xk, yk), (xg, yg) = (_codes(x[c].to_pylist(), y[c].to_pylist()) for c in ("key", "grp"))
             units = np.rint((p @ q.T) * 10**DECIMALS).astype(np.int64)
             other, same = xk[:, None] != yk[None], xg[:, None] == yg[None]
             for name, mask in (("within", other & same), ("across", other & ~same)):
