@@ -81,11 +81,13 @@ class Items:
     def matches(self, text: bytes | None, similarity: float) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first word, words) for each item that some window of the text repeats."""
         h, n_words = shingle_hashes(text, self.shingle)
-        hit = self.slots[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
-        if not hit.any():
+        at = np.flatnonzero(self.slots[(h & np.uint64(SLOTS - 1)).view(np.int64)])
+        if len(at):
+            at = at[self.known[np.minimum(np.searchsorted(self.known, h[at]), len(self.known) - 1)] == h[at]]
+        if not len(at):
             return []
-        at = np.flatnonzero(hit)
-        hit[at] = np.isin(h[at], self.known)
+        hit = np.zeros(len(h), np.int64)
+        hit[at] = 1
         shared = np.concatenate(([0], np.cumsum(hit)))
         best: dict[int, tuple[float, int]] = {}
         for words in self.lengths:
