@@ -128,6 +128,30 @@ scored AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5""",
+    "op8_decontamination": """
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT DISTINCT 'i', item_id, text FROM benchmark WHERE item_id IS NOT NULL),
+words AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w
+  FROM texts),
+listed AS (
+  SELECT side, id, len(w) AS n, list_transform(range(0, greatest(len(w) - 5, 0) + 1), lambda k: array_to_string(w[k + 1 : k + 5], ' ')) AS s
+  FROM words WHERE len(w) > 0),
+placed AS (SELECT side, id, n, len(s) AS span, unnest(s) AS shingle, unnest(range(len(s))) AS p FROM listed),
+items AS (SELECT id AS item_id, n AS words, span, shingle, count(*) AS c FROM placed WHERE side = 'i' GROUP BY ALL),
+docs AS (SELECT id AS doc_id, n, shingle, p FROM placed WHERE side = 'd'),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, words, span, unnest(range(greatest(p - span + 1, 0), least(p, n - words) + 1)) AS a
+  FROM docs JOIN items USING (shingle) WHERE words <= n),
+windows AS (
+  SELECT t.doc_id, item_id, words, span, a, d.shingle, count(*) AS c
+  FROM starts t JOIN docs d ON t.doc_id = d.doc_id AND d.p BETWEEN a AND a + span - 1 GROUP BY ALL),
+alike AS (
+  SELECT doc_id, w.item_id, w.words, a, CAST(sum(least(w.c, i.c)) AS DOUBLE) / (2 * any_value(w.span) - sum(least(w.c, i.c))) AS similarity
+  FROM windows w JOIN items i ON w.item_id = i.item_id AND w.shingle = i.shingle GROUP BY ALL)
+SELECT doc_id, item_id, similarity, a AS first_word, CAST(words AS BIGINT) AS words
+FROM alike WHERE similarity >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a) = 1""",
     "op10_urls": """
 WITH seen AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 365 AS INTEGER) AS day, count(*) AS copies,

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from oracle import assert_matches
@@ -122,3 +124,21 @@ def test_sum_of_squares_choice():
     for size in (3, 3):  # 3 and 3 would square to 4; 6 alone to 1
         put(size)
     assert list(np.flatnonzero(p.level)) == [6] and p.level[6] == 1
+
+
+@given(st.lists(st.integers(1, 31), max_size=120), st.integers(1, 12))
+@settings(max_examples=60, deadline=None)
+def test_placed_pieces_fill_windows(sizes, max_open):
+    packer, done = packing.SumOfSquares(32, max_open), []
+    for doc, size in enumerate(sizes):
+        done += packer.place(packing.Piece(doc, 0, np.arange(size, dtype="<u4"), size))
+        assert packer.n_open == packer.level.sum() == sum(map(len, packer.open.values())) <= max_open
+    full = len(done)
+    assert all(sum(len(p.ids) for p in w) == 32 for w in done)
+    done += packer.settle(keep=False)
+    assert sum(sum(len(p.ids) for p in w) < 32 for w in done[full:]) <= 1
+    ids = defaultdict(list)
+    for p in (p for w in done for p in w):
+        ids[p.doc] += list(range(p.start, p.start + len(p.ids)))
+        assert p.ids.tolist() == list(range(p.start, p.start + len(p.ids)))
+    assert {d: sorted(x) for d, x in ids.items()} == {d: list(range(s)) for d, s in enumerate(sizes)}

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from oracle import assert_matches
 from quernstone.llm import decontam, queries
 from quernstone.llm.common import table
 
@@ -52,6 +53,10 @@ def test_whole_query(spark, sf_dir):
     assert {(d, i) for d, t in docs.items() for i, b in bench.items() if b in t} <= got
 
 
+def test_oracle(spark, sf_dir):
+    assert_matches(spark, "op8_decontamination", sf_dir)
+
+
 def test_edited_passages_and_edges(spark):
     rng = np.random.default_rng(4)
     word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
