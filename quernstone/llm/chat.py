@@ -74,3 +74,18 @@ def perspectives(turns: DataFrame, context: tuple[str, ...] = ("system",), block
         F.when(mine, F.col("start") + len(OWN)).alias("learn_start"),
         F.when(mine, F.col("end")).alias("learn_end"),
     )
+
+
+def dialogues(messages: DataFrame, max_messages: int = 4096) -> DataFrame:
+    """The rows of ``perspectives`` joined to texts: one for each dialogue and participant.
+
+    Columns: ``conv_id``, ``perspective``, ``part``, ``start`` (characters before this part), ``rendered`` and
+    ``spans``, the ``learn_start`` and ``learn_end`` of the participant's own turns, counted from the dialogue's
+    begin. A dialogue of more than ``max_messages`` messages takes several parts, so no row and no group is
+    larger than that; the parts in order are the dialogue.
+    """
+    part = F.floor(F.col("position") / max_messages).cast("long").alias("part")
+    message = F.struct("position", "start", "segment", "learn_start", "learn_end")
+    gathered = messages.groupBy("conv_id", "perspective", part).agg(F.array_sort(F.collect_list(message)).alias("m"))
+    spans = F.transform(F.filter("m", lambda x: x["learn_start"].isNotNull()), lambda x: F.struct(x["learn_start"].alias("learn_start"), x["learn_end"].alias("learn_end")))
+    return gathered.select("conv_id", "perspective", "part", F.get("m", F.lit(0))["start"].alias("start"), F.array_join(F.col("m.segment"), "").alias("rendered"), spans.alias("spans"))

@@ -38,6 +38,11 @@ def test_perspectives_by_brute_force(spark):
                 assert all(whole[r.learn_start : r.learn_end] == r.segment.removeprefix("<|assistant|>\n") for r in mine if r.learn)
         assert not [r for r in out if r.conv_id == 5]
     assert got[4] == got[1024]
+    for r in chat.dialogues(chat.perspectives(df), 7).collect():
+        turns = [(t, s, m) for c, t, s, m, _ in rows if c == r.conv_id]
+        whole = "".join(rendered(turns, r.perspective))
+        assert whole[r.start : r.start + len(r.rendered)] == r.rendered and "".join(rendered(turns, r.perspective)[7 * r.part : 7 * r.part + 7]) == r.rendered
+        assert all(whole[a - 14 : a] == "<|assistant|>\n" and whole[:b].endswith("<|end|>\n") for a, b in r.spans)
     assert chat.perspectives(df.limit(0)).collect() == []
 
 
