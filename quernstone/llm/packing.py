@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -12,17 +13,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-#: Words whose ids a worker remembers, and the longest word that it does.
+#: Words whose ids a worker remembers in each of two generations, and the longest word that it does.
 MEMO_WORDS, MEMO_BYTES = 1 << 18, 48
-#: Punctuation that a word may end with.
-TAIL = b".,;:!?"
+#: ASCII punctuation that a word of letters may end with; an apostrophe may be part of a contraction.
+TAIL = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'")
 
 
-def _byte_chars() -> list[str]:
+def _byte_chars() -> dict[int, str]:
     """The character that stands for each byte in a byte-level vocabulary: itself if it is visible Latin-1."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     rest = iter(range(0x100, 0x200))
-    return [chr(b if b in shown else next(rest)) for b in range(256)]
+    return {b: chr(b if b in shown else next(rest)) for b in range(256)}
 
 
 class WordTokens:
@@ -30,8 +31,9 @@ class WordTokens:
 
     The tokenizer lowers case and never joins what white space separates, so a word's ids don't depend on its
     neighbours and a word that was seen before needs no second encoding. It parts letters from punctuation too;
-    so a word of letters alone goes straight to the tokenizer's model, and its closing punctuation is a word of
-    its own. All other words take the tokenizer's whole way. The memory of words is emptied when it is full.
+    so a word of letters alone goes straight to the tokenizer's model, and the punctuation after it is a word of
+    its own. All other words take the tokenizer's whole way. When the memory of words is full it becomes the old
+    generation, of which only what is met again is kept.
     """
 
     def __init__(self, path: str):
@@ -42,40 +44,48 @@ class WordTokens:
         self.encoder.encode_special_tokens = True
         self.model, self.chars = self.encoder.model, _byte_chars()
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes, end: int) -> np.ndarray:
         """The ids of the text, and ``end``."""
-        words, memo = text.lower().split(), self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        long = {}
-        for w in {w for w in words if w not in memo}:
-            (memo if len(w) <= MEMO_BYTES else long)[w] = self._encode(w)
-        if long:
-            memo = memo | long
-        return np.frombuffer(b"".join([*map(memo.__getitem__, words), np.uint32(end).tobytes()]), "<u4")
-
-    def _encode(self, word: bytes) -> bytes:
-        core = word.rstrip(TAIL)
-        if core != word and core and (head := self._letters(core)) is not None:
-            return head + self._whole(word[len(core) :])
-        head = self._letters(word)
-        return self._whole(word) if head is None else head
+        words = text.lower().split()
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.old = {}, self.memo
+        found = list(map(self.memo.get, words))
+        if None in found:
+            long: dict[bytes, bytes] = {}
+            for k, w in enumerate(words):
+                if found[k] is None:
+                    found[k] = self.memo.get(w) or long.get(w) or self._learn(w, self.memo if len(w) <= MEMO_BYTES else long)
+        found.append(np.uint32(end).tobytes())
+        return np.frombuffer(b"".join(found), "<u4")
+
+    def _learn(self, word: bytes, memo: dict[bytes, bytes]) -> bytes:
+        got = self.old.get(word)
+        if got is None:
+            core = word.rstrip(TAIL)
+            got = self._letters(core) if core else None
+            if got is None:
+                got = self._whole(word)
+            elif len(core) < len(word):
+                tail = word[len(core) :]
+                got += self.memo.get(tail) or self._learn(tail, self.memo if len(tail) <= MEMO_BYTES else memo)
+        memo[word] = got
+        return got
 
     def _letters(self, word: bytes) -> bytes | None:
         """The ids of a word of letters; None for other words."""
-        if word in self.memo:
-            return self.memo[word] if word.decode().isalpha() else None
         text = word.decode()
         if not word.isascii():
-            text = "".join(map(str.lower, unicodedata.normalize("NFC", text)))
+            text = unicodedata.normalize("NFC", text)
+            text = text.lower() if "\u03a3" not in text else "".join(map(str.lower, text))  # no final sigma
         if not text.isalpha():
             return None
-        shown = text if word.isascii() else "".join([self.chars[b] for b in text.encode()])
-        return np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        shown = text if word.isascii() else text.encode().decode("latin-1").translate(self.chars)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _whole(self, word: bytes) -> bytes:
-        return np.array(self.encoder.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.encoder.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
 
 class Piece(NamedTuple):
