@@ -123,21 +123,25 @@ def chunk(text: str | None, limit: int, vocabulary: frozenset[str]) -> list[tupl
 
     parts = _BREAKS.split(text or "") + [""]
     units = [(words.strip(), _kind(mark) if mark else "stop") for words, mark in zip(parts[::2], parts[1::2]) if words.strip()]
-    joined: list[tuple[str, str]] = []
+    gap = size(" ")
+    joined: list[tuple[str, str, int]] = []
     for words, kind in units:
-        both = f"{joined[-1][0]} {words}" if joined else ""
-        if joined and size(both) <= limit:
-            joined[-1] = (both, kind)
-        else:
-            joined.append((words, kind))
+        n = size(words)
+        if joined and joined[-1][2] + gap + n <= limit:
+            before = joined.pop()
+            words, n = f"{before[0]} {words}", before[2] + gap + n
+        joined.append((words, kind, n))
     out = []
-    for words, kind in joined:
-        lines: list[str] = [words] if size(words) <= limit else []
+    for words, kind, n in joined:
+        lines, room = [words] if n <= limit else [], 0
         for w in [] if lines else words.split():
-            if lines and size(f"{lines[-1]} {w}") <= limit:
-                lines[-1] = f"{lines[-1]} {w}"
+            n = size(w)
+            if lines and n + gap <= room:
+                lines[-1] += f" {w}"
+                room -= n + gap
             else:
                 lines.append(w)
+                room = limit - n
         out += [(x, "forced") for x in lines[:-1]] + [(lines[-1], kind)]
     return out
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.alignment import recover_marks
-from quernstone.functions.text import KAF, QAF, characters, clean_phonemes, dialect_rewrite, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
+from quernstone.functions.text import KAF, QAF, clean_phonemes, dialect_rewrite, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
 
 
 def prepared(c: Column, strip: bool = False) -> Column:
@@ -55,7 +55,7 @@ def counters(rows: DataFrame, source: str = "text") -> DataFrame:
 
 def oov_count(rows: DataFrame, text: str, vocabulary: DataFrame) -> DataFrame:
     """``symbol`` and ``n`` of the characters that ``vocabulary`` (column ``symbol``) lacks, most frequent first."""
-    symbols = rows.select(F.explode(characters(F.col(text))).alias("symbol")).groupBy("symbol").agg(F.count("*").alias("n"))
+    symbols = rows.select(F.explode(F.split(F.col(text), "")).alias("symbol")).filter("symbol <> ''").groupBy("symbol").agg(F.count("*").alias("n"))
     return symbols.join(vocabulary.select("symbol").distinct(), "symbol", "left_anti").orderBy(F.desc("n"), "symbol")
 
 
