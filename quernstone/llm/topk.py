@@ -73,7 +73,7 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_q, out_c, out_s))
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = 8192, vector_block: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = 32_768, vector_block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's ``k`` best other vectors.
 
     Queries are the rows where ``is_query`` holds, candidates all rows; vectors become integer codes, and scores
