@@ -18,9 +18,14 @@ WINDOW = 256
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 16, 8
 #: Windows that are convolved at a time, so that they stay in a core's cache.
 BLOCK = 64
+#: Letters, and some numbers that are neither digits nor letters.
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def windows(text: bytes) -> np.ndarray:
     """The whole text as rows of ``WINDOW`` bytes, one row at least."""
     rows = max(1, -(-len(text) // WINDOW))
@@ -180,7 +185,7 @@ def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_c
             langs, scores = [], []
             for text in batch.column(at):
                 text = text.as_py()
-                if not (net and text and LETTER.search(text)):
+                if not (net and text and has_letter(text)):
                     langs.append("und")
                     scores.append(0.0)
                     continue

@@ -41,9 +41,9 @@ def test_language_gradients():
 
 
 def test_language_edges(spark):
-    docs = spark.createDataFrame([(1, "the house is here " * 20, "en", 1), (3, "das haus ist hier und dort " * 20, "de", 2), (4, None, "en", 3), (5, "", None, 4), (6, "12 3!", "de", 5), (None, "x" * 5000, None, 6)], "doc_id long, text string, lang string, score int")
+    docs = spark.createDataFrame([(1, "the house is here " * 20, "en", 1), (3, "das haus ist hier und dort " * 20, "de", 2), (4, None, "en", 3), (5, "", None, 4), (6, "12 3!", "de", 5), (7, "² ½ ③ _", None, 5), (None, "x" * 5000, None, 6)], "doc_id long, text string, lang string, score int")
     got = {r.doc_id: r for r in langid.predict(docs, langid.fit(docs)).collect()}
-    assert len(got) == 6 and [got[k].lang_pred for k in (4, 5, 6)] == ["und"] * 3 and got[4].score == 0
+    assert len(got) == 7 and [got[k].lang_pred for k in (4, 5, 6, 7)] == ["und"] * 4 and got[4].score == 0
     empty = docs.limit(0)
     assert langid.fit(empty) is None and langid.predict(empty, None).collect() == []
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
