@@ -129,7 +129,7 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return (a & b).total() / (a | b).total()
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 15, max_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``id_col``, ``item_col``, ``similarity``, ``first_word`` and ``words`` for each item that a document repeats.
 
     For each item, every window of the document with as many words as the item has is a candidate if its SimHash
@@ -155,7 +155,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
     return found.groupBy(id_col, item_col).agg(best.alias("b")).select(id_col, item_col, "b.*")
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 15, max_items: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents, whole, for which ``contaminations`` finds nothing; in place, without a join.
 
     A benchmark of several parts takes a pass for each, with the documents that are left written between.

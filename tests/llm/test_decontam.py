@@ -83,7 +83,7 @@ def test_edited_passages_and_edges(spark):
     assert decontam.contaminations(df.limit(0), bench).collect() == [] == decontam.contaminations(df, bench.limit(0)).collect()
 
 
-@pytest.mark.parametrize("radius", [7, 15])
+@pytest.mark.parametrize("radius", [7, 15, 23])
 def test_blocks_find_all_within_the_radius(radius):
     rng = np.random.default_rng(radius)
     items = decontam.Items([(k, " ".join(map(str, rng.integers(0, 99, 20)))) for k in range(50)], 5, radius)
@@ -95,3 +95,17 @@ def test_blocks_find_all_within_the_radius(radius):
     met = np.any([items.blocks[b][prints[:, b]] for b in range(8)], axis=0)
     close = np.bitwise_count(prints[:, None] ^ items.prints[None]).sum(axis=2) <= radius
     assert (close <= met).all() and close[:2000].any(axis=1).all()
+
+
+def test_windows_that_just_reach_the_similarity_are_candidates():
+    rng = np.random.default_rng(6)
+    tried = 0
+    for _ in range(600):
+        w = rng.integers(0, 5000, int(rng.integers(40, 120)))
+        edited = w.copy()
+        edited[rng.integers(0, len(w), int(rng.integers(1, 3)))] = -1
+        item, text = (" ".join(f"w{x}" for x in v) for v in (w, edited))
+        if want := brute([(0, text)], [(0, item)]):
+            tried += want[0, 0][0] < 0.86
+            assert decontam.Items([(0, item)], 5, 23).matches(text.encode(), 0.8)
+    assert tried > 20
