@@ -1,7 +1,8 @@
-"""SimHash fingerprints and near-duplicate components by pigeonring filtering (operator 3)."""
+"""Near-duplicate components: SimHash fingerprints by pigeonring filtering, and exact similarity (operator 3)."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,24 +17,34 @@ from quernstone.llm.common import connected_components, cut_lineage
 SEED = 42
 
 
-def simhash(text: bytes | None, shingle: int = 3) -> int:
-    """64-bit fingerprint of the word shingles of a UTF-8 text, as a signed long.
+def shingle_hashes(text: bytes | None, shingle: int = 3) -> np.ndarray:
+    """XXH64 values of the word shingles of a UTF-8 text, repeats included.
 
-    ASCII capitals are lowered, words are split at ASCII white space, and every shingle counts as often as it
-    occurs. A bit is set if it is set in over half of the shingles' XXH64 values. Fewer words than ``shingle``:
-    the whole sequence is the one shingle. Null or no word: 0.
+    ASCII capitals are lowered and words are split at ASCII white space. Fewer words than ``shingle``: the whole
+    sequence is the one shingle. Null or no word: none.
     """
     words = text.lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     n = max(1, len(words) - shingle + 1)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[: n - 1].tolist()]
     digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = np.array([digest(joined, SEED)], np.uint64)
-    else:
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())), np.uint64, n)
+        return np.array([digest(joined, SEED)], np.uint64)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())), np.uint64, n)
+
+
+def simhash(text: bytes | None, shingle: int = 3) -> int:
+    """64-bit fingerprint of the word shingles of a UTF-8 text, as a signed long.
+
+    Every shingle counts as often as it occurs. A bit is set if it is set in over half of the shingles' hashes.
+    Null or no word: 0.
+    """
+    hashes = shingle_hashes(text, shingle)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for k in range(0, n, 8192):
         part = np.ascontiguousarray(hashes[k : k + 8192])
@@ -115,9 +126,109 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     """
     fps = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     nodes = cut_lineage(fps.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("first_id")))
-    labels = connected_components(pigeonring_links(nodes, radius))
-    named = nodes.join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    return _labelled(fps, nodes, pigeonring_links(nodes, radius), id_col)
+
+
+def _labelled(fps: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
+    """``id_col``, ``fingerprint`` and ``component_id`` of ``fps``, from links of the nodes' fingerprints."""
+    labels = connected_components(links)
+    named = nodes.select("fingerprint", "first_id").join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     named = cut_lineage(named.select("fingerprint", "first_id", F.coalesce("label", "fingerprint").alias("label")))
     first = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     component = cut_lineage(named.join(first, "label").select("fingerprint", "component_id"))
     return fps.join(component, "fingerprint", "left").select(id_col, "fingerprint", "component_id")
+
+
+def _shingle_sets(docs: DataFrame, shingle: int, similarity: float, common: np.ndarray | None, id_col: str, text_col: str) -> DataFrame:
+    """Of every row ``id_col``, ``fingerprint`` (of its set of shingles), ``size`` and ``shingles``.
+
+    The shingles are all, or, with ``common``, as many of the first in the order of (place in ``common``, hash) as
+    two sets of at least ``similarity`` can't miss each other in.
+    """
+    order = None if common is None else np.argsort(common)
+    known = None if common is None else common[order]
+
+    def parts(text: bytes | None) -> tuple[int, int, np.ndarray]:
+        found = np.unique(shingle_hashes(text, shingle))
+        n = len(found)
+        name = xxhash.xxh64_intdigest(found.tobytes(), SEED) if n else 0
+        if common is not None and n:
+            rank = np.zeros(n, np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                rank[known[at] == found] = len(known) - order[at[known[at] == found]]
+            found = found[np.lexsort((found, rank))][: n - math.ceil(similarity * n - 1e-9) + 1]
+        return name, n, found.view(np.int64)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                some = batch.slice(k, 512)
+                rows = [parts(t.as_py()) for t in some.column(1).cast(pa.binary())]
+                ends = np.cumsum([0, *(len(x) for _, _, x in rows)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x for _, _, x in rows])))
+                names = pa.array(np.array([x for x, _, _ in rows], np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([some.column(0), names, pa.array([n for _, n, _ in rows], pa.int64()), lists], names=[id_col, "fingerprint", "size", "shingles"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fingerprint long, size long, shingles array<long>")
+
+
+def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, sampled: int = 4096, most: int = 100_000) -> np.ndarray:
+    """The most frequent shingles of some ``sampled`` texts, most frequent first. They order, and decide nothing."""
+    n = max(1, docs.count() // sampled)
+    some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(n)) == 0).dropDuplicates([text_col])
+    counts = _shingle_sets(some, shingle, 0.0, None, id_col, text_col).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    rows = counts.filter("n > 2").orderBy(F.desc("n"), "s").limit(most).select("s").collect()
+    return np.array([r.s for r in rows], np.int64).view(np.uint64)
+
+
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, ``fingerprint`` (of the set of shingles) and ``component_id``, over links of similar texts.
+
+    Two texts are linked if the shingles in both are at least ``similarity`` of those in either, each counted once.
+    All such pairs are proposed: in any one order of all shingles, both have a shingle in common among their first
+    n - ceil(similarity * n) + 1 of n. (A radius of fingerprints can't do that: pairs that just reach 0.8 differ in
+    up to some 23 of 64 bits, and so do very many others.) Shingles that are frequent in a sample come last in the
+    order, so that few texts meet by a common line.
+
+    First each text is compared with the smallest of those that it meets by a shingle, which already joins most of
+    a large group; then the texts that meet and are not yet in one component. Every link has been counted exactly.
+    Ids and nulls are treated as by ``near_duplicates``.
+    """
+    common = _common_shingles(docs, shingle, id_col, text_col)
+    fps = cut_lineage(_shingle_sets(docs, shingle, similarity, common, id_col, text_col))
+    named_rows = fps.filter(F.col(id_col).isNotNull())
+    nodes = cut_lineage(named_rows.groupBy("fingerprint").agg(F.min(id_col).alias("first_id")))
+    sets = named_rows.select("fingerprint", "size", "shingles").dropDuplicates(["fingerprint"])
+    # Moved once: both the heads and the rows that meet them are of this exchange.
+    keys = sets.select("fingerprint", F.posexplode("shingles").alias("place", "key"), "size").withColumn("at", F.shiftleft("size", 32) + F.col("place")).select("key", "fingerprint", "at").repartition("key")
+    heads = keys.groupBy("key").agg(F.min(F.struct("fingerprint", "at")).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    met = keys.join(heads, "key").select("key", "fingerprint", F.shiftright("at", 32).alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), "head")
+    head = F.struct(F.col("head.fingerprint").alias("fingerprint"), F.shiftright("head.at", 32).alias("size"), F.col("head.at").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"))
+    keys = cut_lineage(met.withColumn("head", head))
+
+    def possible(a: str, b: str) -> Column:
+        """Whether sets whose first common shingle is in these places can be similar enough."""
+        rest = F.least(F.col(f"{a}size") - F.col(f"{a}place"), F.col(f"{b}size") - F.col(f"{b}place"))
+        return rest * (1 + similarity) >= (F.col(f"{a}size") + F.col(f"{b}size")) * similarity - 1e-6
+
+    def counted(pairs: DataFrame) -> DataFrame:
+        pairs = cut_lineage(pairs.distinct())
+        wanted = pairs.select(F.explode(F.array("src", "dst")).alias("fingerprint")).distinct()
+        ids = nodes.join(wanted, "fingerprint", "left_semi").select(F.col("first_id").alias(id_col)).distinct()
+        sets = _shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), shingle, similarity, None, id_col, text_col)
+        sets = cut_lineage(sets.dropDuplicates(["fingerprint"]).select("fingerprint", "shingles"))
+        both = pairs.join(sets.toDF("src", "a"), "src").join(sets.toDF("dst", "b"), "dst")
+        shared = F.size(F.array_intersect("a", "b"))
+        return cut_lineage(both.filter(shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9).select("src", "dst"))
+
+    star = counted(keys.filter((F.col("fingerprint") != F.col("head.fingerprint")) & possible("", "head.")).select(F.col("head.fingerprint").alias("src"), F.col("fingerprint").alias("dst")))
+    labels = connected_components(star).withColumnRenamed("node", "fingerprint")
+    named = keys.drop("head").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
+    named = cut_lineage(named.join(mixed, "key", "left_semi"))
+    apart = (F.col("x.fingerprint") < F.col("y.fingerprint")) & (F.col("x.label") != F.col("y.label")) & possible("x.", "y.")
+    rest = named.alias("x").join(named.alias("y"), (F.col("x.key") == F.col("y.key")) & apart)
+    links = star.unionByName(counted(rest.select(F.col("x.fingerprint").alias("src"), F.col("y.fingerprint").alias("dst"))))
+    return _labelled(fps, nodes, links, id_col)

@@ -4,7 +4,7 @@ import corpus_pipeline
 from quernstone.llm import decontam, langid, quality, simhash
 from quernstone.llm.common import table
 from test_dealing import check_pieces
-from test_simhash import brute
+from test_simhash import brute, edited_copies, similar
 
 
 def test_run_matches_its_stages_by_brute_force(spark, sf_dir):
@@ -40,3 +40,10 @@ def test_stages_with_odd_rows(spark, sf_dir, rows):
             assert len(got) == len(rows)
         if name == "packing":
             assert sum(r.length == r.doc_tokens for r in got) == len(rows)
+
+
+def test_the_near_duplicate_stage_drops_all_near_copies(spark):
+    texts = edited_copies()
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {i for i, first in similar(texts).items() if i == first}
+    assert {r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, docs, "").collect()} == want and len(want) < len(texts) - 30

@@ -76,3 +76,56 @@ def test_chain_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)], "src long, dst long")
     got = {r.node: r.label for r in connected_components(edges).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+
+
+def similar(rows, similarity=0.8, shingle=5):
+    """Components over all pairs of texts whose sets of shingles reach the similarity."""
+    sets = {}
+    for i, text in rows:
+        w = (text or "").encode().lower().split()
+        sets[i] = {tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in sets}
+
+
+def edited_copies():
+    """Texts, and copies of them with more and more words changed, on both sides of the similarity."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        w = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(30, 200))] + "one line that very many of the texts have at the end".split() * 2
+        texts.append(" ".join(w))
+        for changes in (1, 1, 2, 3, 4, 6):
+            v = list(w)
+            for k in rng.sample(range(len(v)), changes):
+                v[k] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(v))
+    return list(enumerate(texts))
+
+
+def test_near_copies_match_brute_force(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    added = spark.createDataFrame([(10**6 + k, t) for k, t in edited_copies()], "doc_id long, text string")
+    rows = docs.unionByName(added).withColumn("doc_id", F.col("doc_id").cast("long"))
+    want = similar([(r.doc_id, r.text) for r in rows.collect()])
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(rows).collect()} == want
+
+
+def test_near_copies_edge_rows(spark):
+    rows = [(1, None), (2, ""), (None, "one two three four"), (3, "one two three four"), (3, "one two three four"), (None, "alone")]
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (-1, 3), (1, 1), (2, 1), (3, 3), (3, 3)]
+    assert simhash.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
