@@ -78,18 +78,48 @@ class Items:
         """SimHash of shingles weighted by their counts, as eight bytes."""
         return np.packbits(ones * 2 > n, axis=-1, bitorder="little")
 
-    def matches(self, text: bytes | None, similarity: float) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) for each item that some window of the text repeats."""
+    def matches(self, text: bytes | None, similarity: float, uneven: bool = False) -> list[tuple[int, float, int, int]]:
+        """(item, similarity, first word, words) for each item that some window of the text repeats.
+
+        ``uneven``: a text shorter than an item is a window as it is, and items shorter than a shingle are met by
+        runs of their own number of words.
+        """
         h, n_words = shingle_hashes(text, self.shingle)
+        best: dict[int, tuple[float, int]] = {}
+        if uneven and n_words >= self.shingle:
+            self._short_items(text, best)
+            self._whole_text(h, n_words, similarity, best)
+        self._even(h, n_words, similarity, best)
+        return [(self.ids[k], s, -a, int(min(self.words[k], n_words))) for k, (s, a) in sorted(best.items())]
+
+    def _short_items(self, text: bytes, best: dict) -> None:
+        for words in self.lengths[self.lengths < self.shingle]:
+            runs = shingle_hashes(text, int(words))[0]
+            for k in np.flatnonzero(self.words == words):
+                at = np.flatnonzero(runs == np.uint64(next(iter(self.shingles[k]))))
+                if len(at):
+                    best[int(k)] = (1.0, -int(at[0]))
+
+    def _whole_text(self, h: np.ndarray, n_words: int, similarity: float, best: dict) -> None:
+        # An item of more shingles than this has too many for the text to be similar.
+        longer = np.flatnonzero((self.words > n_words) & ((self.words - self.shingle + 1) * similarity <= len(h)))
+        if not len(longer) or np.isin(h, self.known).sum() < similarity * len(h):
+            return
+        have = Counter(h.tolist())
+        for k in longer.tolist():
+            s = weighted_similarity(have, self.shingles[k])
+            if s >= similarity:
+                best[k] = (s, 0)
+
+    def _even(self, h: np.ndarray, n_words: int, similarity: float, best: dict) -> None:
         at = np.flatnonzero(self.slots[(h & np.uint64(SLOTS - 1)).view(np.int64)])
         if len(at):
             at = at[self.known[np.minimum(np.searchsorted(self.known, h[at]), len(self.known) - 1)] == h[at]]
         if not len(at):
-            return []
+            return
         hit = np.zeros(len(h), np.int64)
         hit[at] = 1
         shared = np.concatenate(([0], np.cumsum(hit)))
-        best: dict[int, tuple[float, int]] = {}
         for words in self.lengths:
             width = min(self.shingle, int(words))
             span = int(words) - width + 1  # shingles of a window
@@ -99,7 +129,6 @@ class Items:
             starts = np.flatnonzero(shared[span:] - shared[:-span] >= similarity * span)
             for a in range(0, len(starts), 4096):
                 self._windows(h, starts[a : a + 4096], span, int(words), similarity, best)
-        return [(self.ids[k], s, -a, int(self.words[k])) for k, (s, a) in sorted(best.items())]
 
     def _windows(self, h: np.ndarray, starts: np.ndarray, span: int, words: int, similarity: float, best: dict) -> None:
         # Fingerprints of all windows from running sums of the shingles' bits, stretch by stretch.
@@ -129,7 +158,7 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return (a & b).total() / (a | b).total()
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
     """``id_col``, ``item_col``, ``similarity``, ``first_word`` and ``words`` for each item that a document repeats.
 
     For each item, every window of the document with as many words as the item has is a candidate if its SimHash
@@ -143,11 +172,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
     don't matter. Documents are read once and not shuffled. The benchmark is broadcast by at most ``max_items``
     items at a time (a text of 60 words needs some 8 KB); a larger one is compared part by part, by hash of the
     item. Null and empty texts, on either side, match nothing; so does an item longer than the document, and one
-    with fewer words than a shingle unless it is the whole document. Repeated documents each get their rows;
+    with fewer words than a shingle unless it is the whole document. With ``uneven`` these two do: a document shorter
+    than the item is one window as it is, and a shorter item is met by runs of its own number of words. Repeated documents each get their rows;
     items with a null id are left out, and of an id with several texts each text counts.
     """
     kind = benchmark.schema[item_col].dataType
-    parts = [_search(docs.select(id_col, text_col), items, similarity, text_col, kind) for items in _parts(benchmark, shingle, radius, max_items, item_col, item_text_col)]
+    parts = [_search(docs.select(id_col, text_col), items, similarity, text_col, kind, uneven) for items in _parts(benchmark, shingle, radius, max_items, item_col, item_text_col)]
     found = reduce(DataFrame.unionByName, parts).select(id_col, F.inline("_matches")).withColumnRenamed("_item", item_col)
     if len(parts) == 1:
         return found
@@ -155,7 +185,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
     return found.groupBy(id_col, item_col).agg(best.alias("b")).select(id_col, item_col, "b.*")
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
     """The documents, whole, for which ``contaminations`` finds nothing; in place, without a join.
 
     A benchmark of several parts takes a pass for each, with the documents that are left written between.
@@ -163,7 +193,7 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
     parts = _parts(benchmark, shingle, radius, max_items, item_col, item_text_col)
     for k, items in enumerate(parts):
         docs = cut_lineage(docs) if k else docs
-        docs = _search(docs, items, similarity, text_col, benchmark.schema[item_col].dataType).filter(F.size("_matches") == 0).drop("_matches")
+        docs = _search(docs, items, similarity, text_col, benchmark.schema[item_col].dataType, uneven).filter(F.size("_matches") == 0).drop("_matches")
     return docs
 
 
@@ -176,7 +206,7 @@ def _parts(benchmark: DataFrame, shingle: int, radius: int, max_items: int, item
         yield Items([tuple(r) for r in rows], shingle, radius)
 
 
-def _search(docs: DataFrame, items: Items, similarity: float, text_col: str, item_type: DataType) -> DataFrame:
+def _search(docs: DataFrame, items: Items, similarity: float, text_col: str, item_type: DataType, uneven: bool) -> DataFrame:
     """``docs`` with the array ``_matches``."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
     match = pa.struct([("_item", to_arrow_type(item_type)), ("similarity", pa.float64()), ("first_word", pa.int64()), ("words", pa.int64())])
@@ -185,7 +215,7 @@ def _search(docs: DataFrame, items: Items, similarity: float, text_col: str, ite
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
-            found = [[dict(zip(names, m)) for m in sent.value.matches(t.as_py(), similarity)] for t in texts]
+            found = [[dict(zip(names, m)) for m in sent.value.matches(t.as_py(), similarity, uneven)] for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(match))], names=[*batch.schema.names, "_matches"])
 
     one = StructType().add("_item", item_type).add("similarity", "double").add("first_word", "long").add("words", "long")

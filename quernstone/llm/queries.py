@@ -45,7 +45,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), uneven=True)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
