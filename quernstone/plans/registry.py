@@ -393,25 +393,37 @@ LEXICON = ["القران", "الفقه"]
 
 @query()
 def dialect_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(k, t, p) for k, (t, p) in enumerate(SPOKEN)], "idx int, text string, phonemes string")
+    """All documents, with qaf for q as words and the text itself, at each fifth with a word more, as phonemes; and the literals under negative ids."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.collapse(F.col("text")).alias("text"))
+    sounds = F.when(F.col("doc_id") % 5 == 4, F.concat("text", F.lit(" more"))).otherwise(F.col("text"))
+    docs = docs.select(F.col("doc_id").alias("idx"), F.translate("text", "q", QAF).alias("text"), sounds.alias("phonemes"))
+    rows = docs.unionByName(spark.createDataFrame([(-1 - k, t, p) for k, (t, p) in enumerate(SPOKEN)], "idx long, text string, phonemes string"))
     found = frontend.phonemized(rows, F.array(*map(F.lit, LEXICON)))
     return found.select("idx", "spoken", "misaligned", "n_words", "n_q_words", "n_q_kept")
 
 
+def _marked(c: Column) -> Column:
+    """A text's words but each fifth, with a mark after every vowel."""
+    marked = F.transform(text.tokens(c), lambda w: F.regexp_replace(w, "([aeiou])", "$1\u064e"))
+    return F.array_join(F.filter(marked, lambda _, i: i % 5 != 4), " ")
+
+
 @query()
 def recover_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of talk as bare text, with marks after every vowel of all words but each fifth as the marked one."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "text")
-    words = text.tokens(F.col("text"))
-    marked = F.array_join(F.filter(F.transform(words, lambda w: F.regexp_replace(w, "([aeiou])", "$1\u064e")), lambda _, i: i % 5 != 4), " ")
-    found = rows.withColumn("r", alignment.recover_marks(F.col("text"), marked, F.lit(None).cast("string")))
+    found = rows.withColumn("r", alignment.recover_marks(F.col("text"), _marked(F.col("text")), F.lit(None).cast("string")))
     return found.select("conv_id", "turn", F.crc32("r.text").alias("text_crc32"), F.round("r.coverage", 6).alias("coverage"))
 
 
 @query()
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _texts(spark, sf_dir).filter("doc_id < 0").select("text", F.col("text").alias("text_tashkeel_raw"), F.lit("").alias("text_tashkeel"), F.lit(0.5).alias("coverage"))
-    return rounded(frontend.coverage_report(rows.withColumn("text", text.undiacritize(F.col("text")))))
+    """All turns of talk, with qaf for q and marks as in ``recover_marks``, and the literals with their own marks."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.translate("text", "q", QAF).alias("text"))
+    turns = turns.withColumn("text_tashkeel_raw", _marked(F.col("text")))
+    own = spark.createDataFrame([(t,) for t in ARABIC], "text string").select(text.undiacritize(F.col("text")).alias("text"), F.col("text").alias("text_tashkeel_raw"))
+    rows = turns.unionByName(own).withColumns({"text_tashkeel": F.lit(""), "coverage": F.lit(0.5)})
+    return rounded(frontend.coverage_report(rows))
 
 
 @query()

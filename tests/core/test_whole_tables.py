@@ -1,0 +1,36 @@
+"""Queries without SQL, or whose SQL has less, by brute force over whole tables."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from quernstone.functions.alignment import recover_marks
+from quernstone.plans import registry
+
+QAF = registry.QAF
+
+
+def test_dialect_rewrite_over_all_documents(spark, sf_dir):
+    want = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        t = re.sub(registry.SPACE, " ", r.text).strip()
+        words, more = t.split(" ") if t else [], r.doc_id % 5 == 4
+        n_q = sum("q" in w for w in words)
+        want[r.doc_id] = (len(words), n_q, 0, bool(t) and more)
+    got = {r.idx: r for r in registry.QUERIES["dialect_rewrite"](spark, sf_dir).collect()}
+    assert {k: (r.n_words, r.n_q_words, r.n_q_kept, r.misaligned) for k, r in got.items() if k >= 0} == want
+    assert all("q" not in r.spoken for k, r in got.items() if k >= 0 and r.spoken)
+    assert len(got) == len(want) + len(registry.SPOKEN) and sum(v[1] for v in want.values()) > 0
+
+
+def test_coverage_report_over_all_turns(spark, sf_dir):
+    turns = [r.text.replace("q", QAF) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()]
+    mark = lambda t: " ".join(re.sub("([aeiou])", "\\1\u064e", w) for i, w in enumerate(t.split()) if i % 5 != 4)
+    rows = [(t, mark(t)) for t in turns if t and mark(t)]
+    plain = spark.createDataFrame([(t,) for t in registry.ARABIC], "raw string").select(registry.text.undiacritize(F.col("raw")).alias("t"), "raw").collect()
+    rows += [(r.t, r.raw) for r in plain if r.t and r.raw]
+    df = spark.createDataFrame(rows, "text string, raw string")
+    found = df.select("text", recover_marks(F.col("text"), F.col("raw"), F.lit("")).alias("r")).collect()
+    r = registry.QUERIES["coverage_report"](spark, sf_dir).first()
+    assert r.n == len(rows) and r.new_coverage == pytest.approx(sum(x.r.coverage for x in found) / len(found), abs=2e-6)
