@@ -37,9 +37,9 @@ FROM conversations a"""
 
 _SPARK = {
     "string": "STRING",
-    "slice": "slice(split(a.text, ' '), 1, 30)",
-    "other": "slice(split(b.text, ' '), 1, 30)",
-    "dropped": "filter(slice(split(a.text, ' '), 1, 30), (w, i) -> i % 7 <> 3)",
+    "slice": "split(a.text, ' ')",
+    "other": "split(b.text, ' ')",
+    "dropped": "filter(split(a.text, ' '), (w, i) -> i % 7 <> 3)",
 }
 _DUCKDB = {
     "string": "VARCHAR",

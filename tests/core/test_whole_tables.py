@@ -34,3 +34,30 @@ def test_coverage_report_over_all_turns(spark, sf_dir):
     found = df.select("text", recover_marks(F.col("text"), F.col("raw"), F.lit("")).alias("r")).collect()
     r = registry.QUERIES["coverage_report"](spark, sf_dir).first()
     assert r.n == len(rows) and r.new_coverage == pytest.approx(sum(x.r.coverage for x in found) / len(found), abs=2e-6)
+
+
+def test_pairs_are_scored_as_whole_turns(spark, sf_dir):
+    def distance(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(line[j] + 1, now[-1] + 1, line[j - 1] + (x != y)))
+            line = now
+        return line[-1]
+
+    turns = {(r.conv_id, r.turn): r.text for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()}
+    pairs = {}
+    for (c, k), t in turns.items():
+        words = t.split(" ")
+        pairs[10**9 + c * 1000 + k] = (t, " ".join(w for i, w in enumerate(words) if i % 7 != 3))
+        if (c, k + 1) in turns:
+            pairs[c * 1000 + k] = (t, turns[c, k + 1])
+    df = spark.createDataFrame([(i, *p) for i, p in pairs.items()], "idx long, r string, h string")
+    normed = df.select("idx", registry.text.wer_norm(F.col("r")).alias("r"), registry.text.wer_norm(F.col("h")).alias("h")).collect()
+    want = {r.idx: (distance(r.r.split(), r.h.split()), distance(r.r, r.h), len(r.r.split()), len(r.r)) for r in normed}
+    got = {r.idx: (r.word_edits, r.char_edits, r.words, r.chars) for r in registry.QUERIES["edit_distance"](spark, sf_dir).collect()}
+    assert got == want and max(w for _, _, w, _ in want.values()) > 100
+    total = registry.QUERIES["wer_cer"](spark, sf_dir).first()
+    assert total.wer == pytest.approx(sum(w[0] for w in want.values()) / sum(w[2] for w in want.values()), abs=2e-6)
+    assert total.cer == pytest.approx(sum(w[1] for w in want.values()) / sum(w[3] for w in want.values()), abs=2e-6)
