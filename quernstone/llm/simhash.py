@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +35,22 @@ def shingle_hashes(text: bytes | None, shingle: int = 3) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist())), np.uint64, n)
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, as a signed long; 0 for none."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 8192):
+        part = np.ascontiguousarray(hashes[k : k + 8192])
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
+
+
 def simhash(text: bytes | None, shingle: int = 3) -> int:
     """64-bit fingerprint of the word shingles of a UTF-8 text, as a signed long.
 
     Every shingle counts as often as it occurs. A bit is set if it is set in over half of the shingles' hashes.
     Null or no word: 0.
     """
-    hashes = shingle_hashes(text, shingle)
-    n = len(hashes)
-    if not n:
-        return 0
-    ones = np.zeros(64, np.int64)
-    for k in range(0, n, 8192):
-        part = np.ascontiguousarray(hashes[k : k + 8192])
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.int64)[0])
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,96 +140,119 @@ def _labelled(fps: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str) -
     return fps.join(component, "fingerprint", "left").select(id_col, "fingerprint", "component_id")
 
 
-def _shingle_sets(docs: DataFrame, shingle: int, similarity: float, common: np.ndarray | None, id_col: str, text_col: str) -> DataFrame:
-    """Of every row ``id_col``, ``fingerprint`` (of its set of shingles), ``size`` and ``shingles``.
-
-    The shingles are all, or, with ``common``, as many of the first in the order of (place in ``common``, hash) as
-    two sets of at least ``similarity`` can't miss each other in.
-    """
-    order = None if common is None else np.argsort(common)
-    known = None if common is None else common[order]
-
-    def parts(text: bytes | None) -> tuple[int, int, np.ndarray]:
-        found = np.unique(shingle_hashes(text, shingle))
-        n = len(found)
-        name = xxhash.xxh64_intdigest(found.tobytes(), SEED) if n else 0
-        if common is not None and n:
-            rank = np.zeros(n, np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-                rank[known[at] == found] = len(known) - order[at[known[at] == found]]
-            found = found[np.lexsort((found, rank))][: n - math.ceil(similarity * n - 1e-9) + 1]
-        return name, n, found.view(np.int64)
+def _mapped(docs: DataFrame, of: Callable[[bytes | None], tuple], schema: str, id_col: str, text_col: str) -> DataFrame:
+    """``id_col`` and what ``of`` makes of each text: longs, and an array of longs as the last column."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                rows = [parts(t.as_py()) for t in some.column(1).cast(pa.binary())]
-                ends = np.cumsum([0, *(len(x) for _, _, x in rows)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x for _, _, x in rows])))
-                names = pa.array(np.array([x for x, _, _ in rows], np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([some.column(0), names, pa.array([n for _, n, _ in rows], pa.int64()), lists], names=[id_col, "fingerprint", "size", "shingles"])
+                *longs, lists = zip(*(of(t.as_py()) for t in some.column(1).cast(pa.binary())))
+                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+                arrays = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([some.column(0), *(pa.array(x, pa.int64()) for x in longs), arrays], names=[id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fingerprint long, size long, shingles array<long>")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {schema}")
+
+
+def _set_of(text: bytes | None, shingle: int) -> tuple[int, np.ndarray]:
+    """The sorted hashes of a text's different shingles, and a name for them: one set, one name."""
+    found = np.unique(shingle_hashes(text, shingle))
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED) if len(found) else 0).view(np.int64)), found
+
+
+def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes: int) -> np.ndarray:
+    """The shingles by which a set of ``found`` meets all sets that may be similar enough.
+
+    All shingles have one order: those that aren't in ``common`` by hash, then those of ``common`` from its end.
+    Two sets of at least ``similarity`` have a shingle in common among their first n - ceil(similarity * n) + 1 of
+    n. Of these the first ``probes`` of either kind are taken: by hash they are a random choice, so if a share s
+    of the two sets' rare shingles is in both, they meet by none of them with a probability below (1 - s) ** probes.
+    """
+    n = len(found)
+    rank = np.zeros(n, np.int64)
+    if len(common) and n:
+        order = np.argsort(common)
+        at = np.minimum(np.searchsorted(common, found, sorter=order), len(common) - 1)
+        hit = common[order[at]] == found
+        rank[hit] = len(common) - order[at[hit]]
+    first = np.lexsort((found, rank))[: n - math.ceil(similarity * n - 1e-9) + 1] if n else np.zeros(0, np.int64)
+    rare = int((rank[first] == 0).sum())
+    return found[np.concatenate((first[:rare][:probes], first[rare:][:probes]))]
 
 
 def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, sampled: int = 4096, most: int = 100_000) -> np.ndarray:
     """The most frequent shingles of some ``sampled`` texts, most frequent first. They order, and decide nothing."""
     n = max(1, docs.count() // sampled)
     some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(n)) == 0).dropDuplicates([text_col])
-    counts = _shingle_sets(some, shingle, 0.0, None, id_col, text_col).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    found = _mapped(some, lambda t: _set_of(t, shingle), "fingerprint long, shingles array<long>", id_col, text_col)
+    counts = found.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
     rows = counts.filter("n > 2").orderBy(F.desc("n"), "s").limit(most).select("s").collect()
     return np.array([r.s for r in rows], np.int64).view(np.uint64)
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, wide: int = 44, probes: int = 32, broadcast_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``fingerprint`` (of the set of shingles) and ``component_id``, over links of similar texts.
 
-    Two texts are linked if the shingles in both are at least ``similarity`` of those in either, each counted once.
-    All such pairs are proposed: in any one order of all shingles, both have a shingle in common among their first
-    n - ceil(similarity * n) + 1 of n. (A radius of fingerprints can't do that: pairs that just reach 0.8 differ in
-    up to some 23 of 64 bits, and so do very many others.) Shingles that are frequent in a sample come last in the
-    order, so that few texts meet by a common line.
+    Two texts are linked if the shingles in both are at least ``similarity`` of those in either, each counted once;
+    every link is counted exactly. Texts are proposed in two ways. One is SimHash: fingerprints at ``radius`` or
+    fewer differing bits, by ``pigeonring_links``. Pairs that just reach 0.8 differ in 10 of 64 bits on average, a
+    radius at which no segment prunes, so the other is a second key, ``second_keys``. Pairs that meet by a second
+    key are counted only if two fingerprints of 64 bits differ in ``wide`` bits at most, some five standard
+    deviations more than pairs of 0.8 do, and their sizes allow the similarity.
 
-    First each text is compared with the smallest of those that it meets by a shingle, which already joins most of
-    a large group; then the texts that meet and are not yet in one component. Every link has been counted exactly.
-    Ids and nulls are treated as by ``near_duplicates``.
+    First each text is counted against one text of each way (the smallest of those that it meets), which already
+    joins most of a large group; then the texts that meet and are not yet in one component. Ids and nulls are
+    treated as by ``near_duplicates``.
     """
     common = _common_shingles(docs, shingle, id_col, text_col)
-    fps = cut_lineage(_shingle_sets(docs, shingle, similarity, common, id_col, text_col))
-    named_rows = fps.filter(F.col(id_col).isNotNull())
-    nodes = cut_lineage(named_rows.groupBy("fingerprint").agg(F.min(id_col).alias("first_id")))
-    sets = named_rows.select("fingerprint", "size", "shingles").dropDuplicates(["fingerprint"])
-    # Moved once: both the heads and the rows that meet them are of this exchange.
-    keys = sets.select("fingerprint", F.posexplode("shingles").alias("place", "key"), "size").withColumn("at", F.shiftleft("size", 32) + F.col("place")).select("key", "fingerprint", "at").repartition("key")
-    heads = keys.groupBy("key").agg(F.min(F.struct("fingerprint", "at")).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    met = keys.join(heads, "key").select("key", "fingerprint", F.shiftright("at", 32).alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"), "head")
-    head = F.struct(F.col("head.fingerprint").alias("fingerprint"), F.shiftright("head.at", 32).alias("size"), F.col("head.at").bitwiseAND(F.lit((1 << 32) - 1)).alias("place"))
-    keys = cut_lineage(met.withColumn("head", head))
 
-    def possible(a: str, b: str) -> Column:
-        """Whether sets whose first common shingle is in these places can be similar enough."""
-        rest = F.least(F.col(f"{a}size") - F.col(f"{a}place"), F.col(f"{b}size") - F.col(f"{b}place"))
-        return rest * (1 + similarity) >= (F.col(f"{a}size") + F.col(f"{b}size")) * similarity - 1e-6
+    def described(text: bytes | None) -> tuple:
+        name, found = _set_of(text, shingle)
+        other = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return name, len(found), majority(found), majority(other ^ (other >> np.uint64(32))), second_keys(found, common, similarity, probes)
+
+    rows = cut_lineage(_mapped(docs, described, "fingerprint long, size long, a long, b long, keys array<long>", id_col, text_col))
+    firsts = (F.first(c).alias(c) for c in ("size", "a", "b", "keys"))
+    nodes = cut_lineage(rows.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("first_id"), *firsts))
+
+    def close(x: str, y: str) -> Column:
+        apart = sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in "ab")
+        small, large = F.least(f"{x}.size", f"{y}.size"), F.greatest(f"{x}.size", f"{y}.size")
+        return (F.col(f"{x}.fingerprint") != F.col(f"{y}.fingerprint")) & (apart <= wide) & (small >= large * similarity - 1e-6)
 
     def counted(pairs: DataFrame) -> DataFrame:
-        pairs = cut_lineage(pairs.distinct())
+        pairs = cut_lineage(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
         wanted = pairs.select(F.explode(F.array("src", "dst")).alias("fingerprint")).distinct()
-        ids = nodes.join(wanted, "fingerprint", "left_semi").select(F.col("first_id").alias(id_col)).distinct()
-        sets = _shingle_sets(docs.select(id_col, text_col).join(ids, id_col, "left_semi"), shingle, similarity, None, id_col, text_col)
-        sets = cut_lineage(sets.dropDuplicates(["fingerprint"]).select("fingerprint", "shingles"))
+        ids = cut_lineage(nodes.join(wanted, "fingerprint", "left_semi").select(F.col("first_id").alias(id_col)).distinct())
+        few = ids.count() <= broadcast_ids
+        texts = docs.select(id_col, text_col).join(F.broadcast(ids) if few else ids, id_col, "left_semi")
+        sets = _mapped(texts, lambda t: _set_of(t, shingle), "fingerprint long, shingles array<long>", id_col, text_col)
+        sets = sets.groupBy("fingerprint").agg(F.first("shingles").alias("shingles"))
         both = pairs.join(sets.toDF("src", "a"), "src").join(sets.toDF("dst", "b"), "dst")
         shared = F.size(F.array_intersect("a", "b"))
         return cut_lineage(both.filter(shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9).select("src", "dst"))
 
-    star = counted(keys.filter((F.col("fingerprint") != F.col("head.fingerprint")) & possible("", "head.")).select(F.col("head.fingerprint").alias("src"), F.col("fingerprint").alias("dst")))
-    labels = connected_components(star).withColumnRenamed("node", "fingerprint")
-    named = keys.drop("head").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    prints = nodes.groupBy("a").agg(F.min("fingerprint").alias("named"))
+    same = nodes.join(prints, "a").select(F.col("named").alias("src"), F.col("fingerprint").alias("dst")).filter("src <> dst")
+    ring = pigeonring_links(prints.select(F.col("a").alias("fingerprint")), radius)
+    ring = ring.join(prints.toDF("src", "x"), "src").join(prints.toDF("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
+
+    # Moved once: both the heads and the rows that meet them are of this exchange.
+    text = F.struct("fingerprint", "size", "a", "b")
+    keyed = nodes.select(F.explode("keys").alias("key"), text.alias("x")).repartition("key")
+    heads = keyed.groupBy("key").agg(F.min("x").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    met = cut_lineage(keyed.join(heads, "key"))
+    star = met.filter(close("x", "head")).groupBy(F.col("x.fingerprint").alias("dst")).agg(F.min("head.fingerprint").alias("src"))
+    links = counted(same.unionByName(ring).unionByName(star))
+
+    labels = connected_components(links).select(F.col("node").alias("of"), "label")
+    named = met.drop("head").join(labels, F.col("x.fingerprint") == F.col("of"), "left").select("key", "x", F.coalesce("label", "x.fingerprint").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
     named = cut_lineage(named.join(mixed, "key", "left_semi"))
-    apart = (F.col("x.fingerprint") < F.col("y.fingerprint")) & (F.col("x.label") != F.col("y.label")) & possible("x.", "y.")
-    rest = named.alias("x").join(named.alias("y"), (F.col("x.key") == F.col("y.key")) & apart)
-    links = star.unionByName(counted(rest.select(F.col("x.fingerprint").alias("src"), F.col("y.fingerprint").alias("dst"))))
-    return _labelled(fps, nodes, links, id_col)
+    other = named.select("key", F.col("x").alias("y"), F.col("label").alias("label_y"))
+    rest = named.join(other, "key").filter((F.col("x.fingerprint") < F.col("y.fingerprint")) & (F.col("label") != F.col("label_y")) & close("x", "y"))
+    links = links.unionByName(counted(rest.select(F.col("x.fingerprint").alias("src"), F.col("y.fingerprint").alias("dst"))))
+    return _labelled(rows, nodes, links, id_col)
