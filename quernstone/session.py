@@ -20,5 +20,6 @@ def local_session(cores: int | None = None, app: str = "quernstone", **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.driver.memory": "6g",
         "spark.driver.host": "127.0.0.1",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     return SparkSession.builder.config(map=settings).getOrCreate()
