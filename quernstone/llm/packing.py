@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
@@ -41,13 +42,24 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True
+        #: Marks of the vocabulary that stand for an id of their own, as written, inside words too.
+        self.marks = {t.content.encode(): np.array([k], "<u4") for k, t in self.encoder.get_added_tokens_decoder().items()}
+        self.mark = re.compile(b"(" + b"|".join(map(re.escape, sorted(self.marks, key=len, reverse=True))) + b")") if self.marks else None
+        self.encoder.encode_special_tokens = True  # what is between marks has none, though lower case may make it look so
         self.model, self.chars = self.encoder.model, _byte_chars()
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def ids(self, text: bytes, end: int) -> np.ndarray:
-        """The ids of the text, and ``end``."""
+        """The ids of the text, and ``end``. Bytes that aren't UTF-8 count as U+FFFD."""
+        try:
+            parts = self.mark.split(text) if self.mark and b"<" in text else [text]
+            found = [self.marks[p] if k % 2 else self._words(p) for k, p in enumerate(parts)]
+        except UnicodeDecodeError:
+            return self.ids(text.decode(errors="replace").encode(), end)
+        return np.concatenate([*found, np.array([end], "<u4")])
+
+    def _words(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.old = {}, self.memo
@@ -57,7 +69,6 @@ class WordTokens:
             for k, w in enumerate(words):
                 if found[k] is None:
                     found[k] = self.memo.get(w) or long.get(w) or self._learn(w, self.memo if len(w) <= MEMO_BYTES else long)
-        found.append(np.uint32(end).tobytes())
         return np.frombuffer(b"".join(found), "<u4")
 
     def _learn(self, word: bytes, memo: dict[bytes, bytes]) -> bytes:
@@ -179,8 +190,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, en
     ``length`` there, ``doc_tokens``, ``sequence_id`` (partition and number), ``offset`` in the sequence and
     ``ids`` (little-endian unsigned 32-bit). A worker holds ``max_open`` windows at a time.
 
-    Null and empty texts are the end id alone. Rows with null or repeated ids are documents like any other.
-    ``tokenizer`` is the path of a tokenizer file on the executors, by default that of ``word_bpe_49k.json``.
+    Ids are those of ``encode(text, add_special_tokens=False)``; so a mark of the vocabulary, such as
+    ``<|endoftext|>``, in a text is its one id. Null and empty texts are the end id alone; bytes that aren't UTF-8
+    count as U+FFFD. Rows with null or repeated ids are documents like any other, an empty table has no pieces, and
+    further columns are left out. ``tokenizer`` is the path of a tokenizer file on the executors, by default that of ``word_bpe_49k.json``.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

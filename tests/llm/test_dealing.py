@@ -69,7 +69,6 @@ def test_sharding_copies_nulls_and_order(spark):
 
 def tokens(texts):
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return [np.array([*e.ids, 2], "<u4") for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -98,6 +97,17 @@ def test_packing_query(spark, sf_dir):
     assert n <= -(-total // 4096) + docs.rdd.getNumPartitions()
 
 
+def test_ids_of_texts_with_marks():
+    from random import Random
+
+    rng, words = Random(3), packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<", "endoftext", "It's", "don't", " ", "\n", "\u03a3", "\u00c9", "e\u0301", "12", "..", "<|endoftext", "\u0130x"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    assert [list(words.ids(t.encode(), 2)) for t in texts] == [list(x) for x in tokens(texts)]
+    broken = b"fine \xff\xfe words \xc3"
+    assert list(words.ids(broken, 2)) == list(tokens([broken.decode(errors="replace")])[0])
+
+
 def test_packing_edges(spark):
     from pyspark.sql import functions as F
 
