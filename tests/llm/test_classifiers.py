@@ -1,4 +1,6 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -58,11 +60,85 @@ def test_quality_held_out_accuracy(spark):
     assert queries.op9_quality(spark, sf).count() == 1000
 
 
-def test_quality_terms_of_long_texts_in_chunks():
-    text = ("Word, word! 12 | é\n" * 9000).encode()
-    kinds = quality.KIND[np.frombuffer(text, np.uint8)]
-    want = np.bincount((kinds[:-2] * quality.N_KINDS + kinds[1:-1]) * quality.N_KINDS + kinds[2:], minlength=quality.N_KINDS**3)
-    assert np.array_equal(quality.term_counts(text)[:-2], want)
+def plain_terms(text):
+    """Terms and counts by a loop over words."""
+    import xxhash
+
+    between, counts, kept = text.encode().split(), Counter(), []
+    for k, w in enumerate(between):
+        if k and w == between[k - 1]:
+            counts[0] += 1
+        else:
+            kept.append(w)
+            counts[1] += k > 1 and w == between[k - 2]
+    words = [w.encode() for w in re.findall("[0-9A-Za-z\x80-\U0010ffff]+|[^\x00-\x20\x7f0-9A-Za-z\x80-\U0010ffff]+", b" ".join(kept).decode())]
+    h = [xxhash.xxh3_64_intdigest(w) for w in words]
+    for x in h:
+        counts[max(2, x >> 64 - quality.BITS)] += 1
+    for x, y in zip(h, h[1:]):
+        counts[max(2, (x * quality.PAIR[0] + y) * quality.PAIR[1] % 2**64 >> 64 - quality.BITS)] += 1
+    return +counts
+
+
+def test_quality_votes_of_whole_rows_by_brute_force(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    voters = quality.fit(docs, labels)
+    label = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    counts = {d: plain_terms(t) for d, t in texts.items()}
+    learnt = [d for d in texts if d in label]
+    in_rows = Counter(t for d in learnt for t in counts[d])
+    idf = {t: np.log((1 + len(learnt)) / (1 + n)) + 0.05 for t, n in in_rows.items() if n >= quality.LEAST_ROWS}
+    assert len(idf) < quality.MOST_TERMS and {t for t in range(1 << quality.BITS) if voters.place[t] >= 0} == idf.keys()
+
+    def vector(d):
+        w = {t: (1 + np.log(n)) * idf[t] for t, n in counts[d].items() if t in idf}
+        v = sum((x * voters.project[voters.place[t]].astype(float) for t, x in w.items()), np.zeros(voters.project.shape[1]))
+        return v / max(np.sqrt(sum(x * x for x in w.values())), 1e-12)
+
+    near = {d: vector(d) for d in texts}
+    size = {d: max(np.linalg.norm(near[d]), 1e-12) for d in learnt}
+    for r in quality.score(docs, voters).collect():
+        cosines = sorted((-float(near[r.doc_id] @ near[d]) / size[d], label[d]) for d in learnt)[:15]
+        weights = [(max(0.0, -c) ** 8, y) for c, y in cosines]
+        want = (1e-6 * voters.prior + sum(w * y for w, y in weights)) / (1e-6 + sum(w for w, _ in weights))
+        assert abs(r.score - want) < 2e-3 and r.predicted == (r.score >= 0.3)
+
+
+def test_quality_vectors_are_the_leading_singular_ones():
+    rng = np.random.default_rng(4)
+    terms = [np.sort(rng.choice(np.r_[k % 3 * 40 + 2 : k % 3 * 40 + 42], 25, replace=False)).astype(np.int32) for k in range(90)]
+    rows = [(k % 2, t, rng.integers(1, 5, 25).astype(np.int32)) for k, t in enumerate(terms)]
+    voters = quality.learn(rows, np.unique(np.concatenate(terms)), dims=3)
+    x = np.zeros((90, len(voters.idf)))
+    for row, (_, t, c) in zip(x, rows):
+        row[voters.place[t]] = (1 + np.log(c)) * voters.idf[voters.place[t]]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    best = np.linalg.svd(x)[2][:3]
+    assert np.allclose(np.linalg.svd(best @ voters.project)[1], 1, atol=1e-3)
+    assert np.allclose(x @ voters.project, voters.vectors, atol=1e-4)
+
+
+def test_quality_ties_and_equal_models(spark, sf_dir):
+    voters = quality.Voters(np.zeros(0), np.zeros(0), np.zeros((0, 2)), np.array([[1, 0]] * 30 + [[0, 1]] * 30, np.float32), np.array([0.0] * 10 + [1.0] * 50), 0.5)
+    got = voters.score(np.array([[0.5, 0.0], [0.0, 0.5]], np.float32), doubt=0.0)
+    assert np.allclose(got, [5 / 15, 1.0])
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    docs, labels = docs.unionByName(docs.filter("doc_id < 50")), labels.unionByName(labels)
+    one, other = quality.fit(docs, labels, 40), quality.fit(docs.repartition(5, "text"), labels.orderBy("quality").repartition(3), 40)
+    assert len(one.labels) == 40 and np.array_equal(one.vectors, other.vectors) and np.array_equal(one.project, other.project)
+
+
+def test_quality_of_prose_with_other_letters(spark):
+    from random import Random
+
+    rng, sf = Random(1), "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    voters = quality.fit(docs, labels)
+    good = [r.text for r in docs.join(labels.filter("quality = 1"), "doc_id").select("text").limit(60).collect()]
+    mixed = [re.sub("[a-z]", lambda m: rng.choice("abcdefghijklmnopqrstuvwxyz"), t) for t in good]
+    score = lambda texts: voters.score(np.stack([voters.latent(*quality.term_counts(t.encode())) for t in texts]))
+    assert score(good).mean() > 0.98 > score(mixed).mean() + 0.03
 
 
 def test_quality_edges(spark):

@@ -13,7 +13,7 @@ def test_run_matches_its_stages_by_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
     voters = quality.fit(docs, table(spark, sf_dir, "labels"))
-    kept = {d for d, t in texts.items() if voters.score(quality.term_counts(t.encode())[None])[0] >= 0.3}
+    kept = {d for d, t in texts.items() if voters.score(voters.latent(*quality.term_counts(t.encode()))[None])[0] >= 0.3}
     good = docs.filter(F.col("doc_id").isin(sorted(kept)))
     net = langid.fit(good)
     tables = net.pairs()
