@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -134,38 +134,42 @@ def learnable(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 4 != 2
 
 
-def fit(docs: DataFrame, max_docs: int = 6000, per_doc: int = 4, max_languages: int = 256, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteNet | None:
-    """A network learnt from a sample of about ``max_docs`` rows, an equal share of each language.
+def fit(docs: DataFrame, max_docs: int = 6000, per_doc: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteNet | None:
+    """A network learnt from a sample of ``max_docs`` rows at most, an equal share of each language.
 
-    Only rows that are ``learnable`` and have a language are used. The sample is chosen by a hash of the id, so
-    it is the same in every run; the driver receives ``per_doc`` windows of each sampled row, for at most twice
-    ``max_docs`` rows. The ``max_languages`` most frequent languages are learnt. None if there is nothing to learn.
+    Only rows that are ``learnable`` and have a text and a language are used, and every language is learnt, from
+    one row at least. The sample is the first rows of each language by a hash of the id, and at ties of the text,
+    so it depends on the table's content alone; the driver receives ``per_doc`` windows of each sampled row. None
+    if there is nothing to learn.
     """
-    rows = docs.select(id_col, text_col, lang_col).filter(learnable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(max_languages).collect()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(learnable("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    languages = sorted(r[lang_col] for r in counts)
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r[lang_col], max_docs / len(counts) / r["count"])))
-    chosen = rows.filter(F.pmod(F.xxhash64(id_col, F.lit("language sample")), F.lit(1 << 30)) < share[F.col(lang_col)] * (1 << 30))
+    languages = sorted(counts)
+    share = max(1, max_docs // len(languages))
+    # Half as many rows again as are wanted, and some, pass by their hash, so that few move; of those the first stay.
+    passing = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (1.5 * share + 64) / n))))
+    by_id = F.xxhash64("id", F.lit("language sample"))
+    chosen = rows.filter(F.pmod(by_id, F.lit(1 << 30)) < passing[F.col("lang")] * (1 << 30))
+    order = F.struct(F.pmod(by_id, F.lit(1 << 30)).alias("h"), by_id.alias("of"), F.xxhash64("text").alias("text"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, parts = [], []
-            for text, lang in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            found = []
+            for text in batch.column(0).cast(pa.binary()).to_pylist():
                 rng = np.random.default_rng(len(text))
-                for _ in range(per_doc):
-                    a = int(rng.integers(0, max(1, len(text) - WINDOW + 1)))
-                    langs.append(lang)
-                    parts.append(text[a : a + WINDOW])
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.binary())], names=["lang", "part"])
-
-    sample = chosen.select(text_col, lang_col).mapInArrow(cut, "lang string, part binary").limit(2 * max_docs * per_doc).toArrow()
-    if not sample.num_rows:
-        return None
+                starts = [int(rng.integers(0, max(1, len(text) - WINDOW + 1))) for _ in range(per_doc)]
+                found.append([text[a : a + WINDOW] for a in starts])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.binary()))], names=["lang", "at", "parts"])
+
+    windowed = chosen.select("text", "lang", order.alias("at")).mapInArrow(cut, "lang string, at struct<h: long, of: long, text: long>, parts array<binary>")
+    first = Window.partitionBy("lang").orderBy("at", "parts")
+    sample = windowed.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= share).select("lang", F.explode("parts").alias("part")).toArrow()
     parts, langs = sample["part"].to_pylist(), sample["lang"].to_pylist()
     order = sorted(range(len(parts)), key=lambda k: (langs[k], parts[k]))  # rows arrive in any order
-    target = np.array([languages.index(langs[k]) for k in order])
+    place = {x: k for k, x in enumerate(languages)}
+    target = np.array([place[langs[k]] for k in order])
     return train(np.concatenate([windows(parts[k])[:1] for k in order]), target, languages)
 
 
@@ -173,8 +177,10 @@ def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_c
     """All of ``docs``' columns, with ``lang_pred`` and ``score``.
 
     Every window of the whole text is classified; the text's probabilities are the windows', weighted by their
-    bytes. ``score`` is the predicted language's probability. Null texts, texts without a letter, and all texts
-    if there is no network: ``und``, score 0. Columns that are called ``lang_pred`` or ``score`` are replaced.
+    bytes. ``score`` is the predicted language's probability; of equally likely languages the first by name is
+    predicted. Null texts, texts without a letter, and all texts if there is no network: ``und``, score 0. Bytes
+    that aren't UTF-8 are bytes like any other, and no letters. Rows are independent: repeated ones have equal
+    results, an empty table none. Columns that are called ``lang_pred`` or ``score`` are replaced.
     """
     docs = docs.drop("lang_pred", "score")
 
@@ -183,13 +189,12 @@ def predict(docs: DataFrame, net: ByteNet | None, id_col: str = "doc_id", text_c
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             langs, scores = [], []
-            for text in batch.column(at):
-                text = text.as_py()
-                if not (net and text and has_letter(text)):
+            for text in batch.column(at).cast(pa.binary()):
+                raw = text.as_py()
+                if not (net and raw and has_letter(raw.decode(errors="ignore"))):
                     langs.append("und")
                     scores.append(0.0)
                     continue
-                raw = text.encode()
                 rows = windows(raw)
                 share = np.full(len(rows), WINDOW, np.float64)
                 share[-1] = len(raw) - WINDOW * (len(rows) - 1)

@@ -60,6 +60,37 @@ def test_quality_held_out_accuracy(spark):
     assert queries.op9_quality(spark, sf).count() == 1000
 
 
+def test_language_of_whole_texts_by_brute_force(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    net = langid.fit(docs)
+    texts = {r.doc_id: r.text.encode() for r in docs.filter("n_chars < 3000").collect()}
+    for r in langid.predict(docs.filter("n_chars < 3000"), net).collect():
+        raw, p = texts[r.doc_id], 0
+        for a in range(0, len(raw), langid.WINDOW):
+            window = np.zeros(langid.WINDOW, np.uint8)
+            part = np.frombuffer(raw[a : a + langid.WINDOW], np.uint8)
+            window[: len(part)] = part
+            hidden = [max(0, np.einsum("kwe,we->k", np.lib.stride_tricks.sliding_window_view(net.embed[window], w, axis=0).transpose(0, 2, 1), f[:, :, j]).max() + net.bias[i * langid.FILTERS + j]) for i, (w, f) in enumerate(zip(langid.WIDTHS, net.filters)) for j in range(langid.FILTERS)]
+            z = np.array(hidden) @ net.dense + net.offset
+            z = np.exp(z - z.max())
+            p = p + len(part) * z / z.sum() / len(raw)
+        assert abs(r.score - p.max()) < 1e-3 and (r.lang_pred == net.languages[int(p.argmax())] or np.sort(p)[-1] - np.sort(p)[-2] < 2e-3)
+
+
+def test_every_language_is_learnt_whatever_the_partitions(spark):
+    rows = [(k, f"words of language number {k % 300} " * 3, f"l{k % 300:03}") for k in range(1500)] + [(k, f"another text {k}", "l000") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    nets = [langid.fit(d, max_docs=450) for d in (docs, docs.orderBy("text").repartition(7))]
+    assert len(nets[0].languages) == 300 and all(np.array_equal(a, b) for a, b in zip(nets[0].weights(), nets[1].weights()))
+
+
+def test_language_of_broken_utf8(spark):
+    docs = spark.sql("select 1L doc_id, cast(x'74686520c3ff20686f757365' as string) text union all select 2L, cast(x'fffe' as string)")
+    net = langid.ByteNet.fresh(["a", "b"], 1)
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, net).select("doc_id", "lang_pred").collect()}
+    assert got[1] in "ab" and got[2] == "und"
+
+
 def plain_terms(text):
     """Terms and counts by a loop over words."""
     import xxhash
