@@ -72,19 +72,19 @@ def numbered(rows: DataFrame, per_bucket: int = 1 << 17, chunk: int = 1 << 16) -
     buckets before end. Only the buckets' sizes meet in one place, one row for ``per_bucket`` rows. Columns must
     be of types that Spark can group and sort by.
     """
-    columns = rows.columns
-    counted = cut_lineage(rows.groupBy(*columns).agg(F.count("*").alias("_copies")))
+    given = rows.select(F.struct("*").alias("row"))  # one column, so that no name can clash
+    counted = cut_lineage(given.groupBy("row").agg(F.count("*").alias("copies")))
     n_buckets = max(1, -(-counted.count() // per_bucket)) * 8
-    dealt = counted.withColumn("_bucket", F.pmod(F.xxhash64(*columns), F.lit(n_buckets)).cast("int"))
-    sizes = dealt.groupBy("_bucket").agg(F.sum("_copies").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
-    first = dealt.withColumn("_first", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(starts, "_bucket")
-    parts = first.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {chunk}"))))
-    end = F.least(F.col("_copies"), (F.col("_part") + 1) * chunk) - 1
-    spread = parts.withColumn("_copy", F.explode(F.sequence(F.col("_part") * chunk, end)))
-    return spread.select(*columns, (F.col("_start") + F.col("_first") + F.col("_copy")).alias("row_number"))
+    dealt = counted.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(n_buckets)).cast("int"))
+    sizes = dealt.groupBy("bucket").agg(F.sum("copies").alias("size"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("bucket", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("bucket").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    first = dealt.withColumn("first", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(starts, "bucket")
+    parts = first.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {chunk}"))))
+    end = F.least(F.col("copies"), (F.col("part") + 1) * chunk) - 1
+    spread = parts.withColumn("copy", F.explode(F.sequence(F.col("part") * chunk, end)))
+    return spread.select("row.*", (F.col("start") + F.col("first") + F.col("copy")).alias("row_number"))
 
 
 def feistel_shards(rows: DataFrame, n_shards: int = 8, seed: int = 0) -> DataFrame:
@@ -105,5 +105,5 @@ def feistel_shards(rows: DataFrame, n_shards: int = 8, seed: int = 0) -> DataFra
         for x in batches:
             yield pd.Series(permutation.forward(x.to_numpy()))
 
-    put = given.withColumn("_place", place("row_number"))
-    return put.select(*given.columns, F.pmod("_place", F.lit(n_shards)).cast("int").alias("shard"), F.expr(f"_place div {n_shards}").alias("slot"))
+    put = given.select(F.struct("*").alias("row"), place("row_number").alias("place"))
+    return put.select("row.*", F.pmod("place", F.lit(n_shards)).cast("int").alias("shard"), F.expr(f"place div {n_shards}").alias("slot"))

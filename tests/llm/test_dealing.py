@@ -65,6 +65,9 @@ def test_sharding_copies_nulls_and_order(spark):
     other = sorted(map(tuple, sharding.feistel_shards(df.orderBy("text", "doc_id").repartition(3)).collect()), key=repr)
     assert one == other and len(one) == 703
     assert sharding.feistel_shards(df.limit(0)).collect() == []
+    clashing = df.selectExpr("doc_id as copies", "text as _copies", "doc_id as row", "doc_id as place")
+    assert sharding.feistel_shards(clashing).columns == [*clashing.columns, "row_number", "shard", "slot"]
+    assert sharding.feistel_shards(clashing).count() == 703
 
 
 def tokens(texts):
