@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-from quernstone.llm.common import cut_lineage
+from quernstone.llm.common import cut_lineage, free_name
 
 #: Bytes of a word: digits, letters (capitals lowered) and all beyond ASCII; other bytes part words.
 FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in bytes(range(256)).lower())
@@ -57,9 +57,9 @@ def _near_bytes(value: int, radius: int) -> np.ndarray:
 class Items:
     """Benchmark items: shingles with their counts, fingerprints, and the blocks' tables."""
 
-    def __init__(self, rows: list[tuple[int, str]], shingle: int, radius: int):
+    def __init__(self, rows: list[tuple[object, bytes]], shingle: int, radius: int):
         self.shingle, self.radius = shingle, radius
-        found = [(i, *shingle_hashes((t or "").encode(), shingle)) for i, t in rows]
+        found = [(i, *shingle_hashes(t, shingle)) for i, t in rows]
         found = [(i, h, n) for i, h, n in found if n]
         self.ids = [i for i, _, _ in found]
         self.words = np.array([n for _, _, n in found], np.int64)
@@ -69,9 +69,11 @@ class Items:
         self.slots = np.zeros(SLOTS, bool)
         self.slots[(self.known & np.uint64(SLOTS - 1)).astype(np.int64)] = True
         self.lengths = np.unique(self.words)
-        #: For each block and byte, the items whose block is within floor(radius / BLOCKS) bits.
+        #: By number of words, the items that have it, and for each block and byte those of them whose block is
+        #: within floor(radius / BLOCKS) bits.
         near = np.stack([_near_bytes(v, radius // BLOCKS) for v in range(256)])
-        self.blocks = [near[:, self.prints[:, b]] for b in range(BLOCKS)]
+        self.of_length = {int(n): np.flatnonzero(self.words == n) for n in self.lengths}
+        self.blocks = {n: [near[:, self.prints[at, b]] for b in range(BLOCKS)] for n, at in self.of_length.items()}
 
     @staticmethod
     def fingerprint(ones: np.ndarray, n: int) -> np.ndarray:
@@ -141,10 +143,11 @@ class Items:
         prints = np.concatenate(prints)
         for a in range(0, len(starts), 256):
             block = prints[a : a + 256]
-            met = np.zeros((len(block), len(self.ids)), bool)
-            for b in range(BLOCKS):
-                met |= self.blocks[b][block[:, b]]
-            row, item = np.nonzero(met & (self.words == words))
+            met = np.zeros((len(block), len(self.of_length[words])), bool)
+            for table, byte in zip(self.blocks[words], block.T):
+                met |= table[byte]
+            row, item = np.nonzero(met)
+            item = self.of_length[words][item]
             apart = np.bitwise_count(block[row] ^ self.prints[item]).sum(axis=1)
             for r, k in zip(row[apart <= self.radius].tolist(), item[apart <= self.radius].tolist()):
                 start = int(starts[a + r])
@@ -158,26 +161,25 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return (a & b).total() / (a | b).total()
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
+def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, max_bytes: int = 1 << 25, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
     """``id_col``, ``item_col``, ``similarity``, ``first_word`` and ``words`` for each item that a document repeats.
 
     For each item, every window of the document with as many words as the item has is a candidate if its SimHash
     is within ``radius`` bits of the item's. Both fingerprints are cut into eight blocks: if they differ in
-    ``radius`` bits at most, some block differs in floor(radius / 8) at most, so looking items up by each block
-    finds all of them. Candidates stay if the similarity of their word shingles, weighted by count, reaches
+    ``radius`` bits at most, some block differs in floor(radius / 8) at most, so looking the items of the window's
+    length up by each block finds all of them. Candidates stay if the similarity of their word shingles, weighted by count, reaches
     ``similarity``; the best window of an item is returned, the first at ties. Windows with too few of the
     benchmark's shingles to reach ``similarity`` with any item are left out before they are fingerprinted.
 
     Words are lower-cased runs of ASCII letters, digits and other scripts, so case, punctuation and line ends
-    don't matter. Documents are read once and not shuffled. The benchmark is broadcast by at most ``max_items``
-    items at a time (a text of 60 words needs some 8 KB); a larger one is compared part by part, by hash of the
-    item. Null and empty texts, on either side, match nothing; so does an item longer than the document, and one
+    don't matter. Documents are read once and not shuffled. The benchmark is broadcast by some ``max_items`` items
+    and ``max_bytes`` of text at a time; a larger one is compared part by part, by hash of the item. Null and empty texts, on either side, match nothing; so does an item longer than the document, and one
     with fewer words than a shingle unless it is the whole document. With ``uneven`` these two do: a document shorter
-    than the item is one window as it is, and a shorter item is met by runs of its own number of words. Repeated documents each get their rows;
-    items with a null id are left out, and of an id with several texts each text counts.
+    than the item is one window as it is, and a shorter item is met by runs of its own number of words. Repeated documents each get their rows, an empty table has none, and further
+    columns are left out (``uncontaminated`` keeps them, whatever their names); items with a null id are left out, and of an id with several texts each text counts.
     """
     kind = benchmark.schema[item_col].dataType
-    parts = [_search(docs.select(id_col, text_col), items, similarity, text_col, kind, uneven) for items in _parts(benchmark, shingle, radius, max_items, item_col, item_text_col)]
+    parts = [_search(docs.select(id_col, text_col), "_matches", items, similarity, text_col, kind, uneven) for items in _parts(benchmark, shingle, radius, max_items, max_bytes, item_col, item_text_col)]
     found = reduce(DataFrame.unionByName, parts).select(id_col, F.inline("_matches")).withColumnRenamed("_item", item_col)
     if len(parts) == 1:
         return found
@@ -185,29 +187,31 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
     return found.groupBy(id_col, item_col).agg(best.alias("b")).select(id_col, item_col, "b.*")
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 23, max_items: int = 20_000, max_bytes: int = 1 << 25, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", uneven: bool = False) -> DataFrame:
     """The documents, whole, for which ``contaminations`` finds nothing; in place, without a join.
 
     A benchmark of several parts takes a pass for each, with the documents that are left written between.
     """
-    parts = _parts(benchmark, shingle, radius, max_items, item_col, item_text_col)
+    parts = _parts(benchmark, shingle, radius, max_items, max_bytes, item_col, item_text_col)
+    matches = free_name(docs, "_matches")
     for k, items in enumerate(parts):
         docs = cut_lineage(docs) if k else docs
-        docs = _search(docs, items, similarity, text_col, benchmark.schema[item_col].dataType, uneven).filter(F.size("_matches") == 0).drop("_matches")
+        docs = _search(docs, matches, items, similarity, text_col, benchmark.schema[item_col].dataType, uneven).filter(F.size(matches) == 0).drop(matches)
     return docs
 
 
-def _parts(benchmark: DataFrame, shingle: int, radius: int, max_items: int, item_col: str, item_text_col: str) -> Iterable[Items]:
-    """The benchmark by parts of some ``max_items`` at most; one part at least."""
+def _parts(benchmark: DataFrame, shingle: int, radius: int, max_items: int, max_bytes: int, item_col: str, item_text_col: str) -> Iterable[Items]:
+    """The benchmark by parts of some ``max_items`` and ``max_bytes`` of text at most; one part at least."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).filter("item is not null and text is not null").distinct()
-    n = max(1, -(-items.count() // max_items) * 2 - 1)
+    count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = max(1, -(-count // max_items) * 2 - 1, -(-size // max_bytes) * 2 - 1)
     for part in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == part).orderBy("item", "text").collect()
-        yield Items([tuple(r) for r in rows], shingle, radius)
+        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == part).select("item", F.col("text").cast("binary")).orderBy("item", "text").collect()
+        yield Items([(r.item, bytes(r.text)) for r in rows], shingle, radius)
 
 
-def _search(docs: DataFrame, items: Items, similarity: float, text_col: str, item_type: DataType, uneven: bool) -> DataFrame:
-    """``docs`` with the array ``_matches``."""
+def _search(docs: DataFrame, matches: str, items: Items, similarity: float, text_col: str, item_type: DataType, uneven: bool) -> DataFrame:
+    """``docs`` with the array ``matches``."""
     sent = docs.sparkSession.sparkContext.broadcast(items)
     match = pa.struct([("_item", to_arrow_type(item_type)), ("similarity", pa.float64()), ("first_word", pa.int64()), ("words", pa.int64())])
     names = [f.name for f in match]
@@ -216,7 +220,7 @@ def _search(docs: DataFrame, items: Items, similarity: float, text_col: str, ite
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
             found = [[dict(zip(names, m)) for m in sent.value.matches(t.as_py(), similarity, uneven)] for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(match))], names=[*batch.schema.names, "_matches"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(match))], names=[*batch.schema.names, matches])
 
     one = StructType().add("_item", item_type).add("similarity", "double").add("first_word", "long").add("words", "long")
-    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_matches", ArrayType(one)))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields]).add(matches, ArrayType(one)))

@@ -86,13 +86,13 @@ def test_edited_passages_and_edges(spark):
 @pytest.mark.parametrize("radius", [7, 15, 23])
 def test_blocks_find_all_within_the_radius(radius):
     rng = np.random.default_rng(radius)
-    items = decontam.Items([(k, " ".join(map(str, rng.integers(0, 99, 20)))) for k in range(50)], 5, radius)
+    items = decontam.Items([(k, " ".join(map(str, rng.integers(0, 99, 20))).encode()) for k in range(50)], 5, radius)
     prints = rng.integers(0, 256, (4000, 8)).astype(np.uint8)
     prints[:2000] = items.prints[rng.integers(0, 50, 2000)]
     for p in prints[:2000]:
         for b in rng.choice(64, rng.integers(0, radius + 1), replace=False):
             p[b // 8] ^= 1 << (b % 8)
-    met = np.any([items.blocks[b][prints[:, b]] for b in range(8)], axis=0)
+    met = np.any([items.blocks[20][b][prints[:, b]] for b in range(8)], axis=0)
     close = np.bitwise_count(prints[:, None] ^ items.prints[None]).sum(axis=2) <= radius
     assert (close <= met).all() and close[:2000].any(axis=1).all()
 
@@ -107,10 +107,19 @@ def test_windows_that_just_reach_the_similarity_are_candidates():
         item, text = (" ".join(f"w{x}" for x in v) for v in (w, edited))
         if want := brute([(0, text)], [(0, item)]):
             tried += want[0, 0][0] < 0.86
-            assert decontam.Items([(0, item)], 5, 23).matches(text.encode(), 0.8)
+            assert decontam.Items([(0, item.encode())], 5, 23).matches(text.encode(), 0.8)
     assert tried > 20
 
 
+def test_clashing_names_broken_text_and_parts_by_bytes(spark):
+    docs = spark.sql("select 1L doc_id, 'a b c d e f g' text, 5 _matches, 6 __matches union all select 2L, 'x y z', 1, 2 union all select 3L, cast(x'61ff62' as string), 1, 2")
+    bench = spark.createDataFrame([(k, f"{k} " * 9) for k in range(6)] + [(9, "a b c d e f g")], "item_id long, text string")
+    for max_bytes in (1 << 25, 30):
+        left = decontam.uncontaminated(docs, bench, max_bytes=max_bytes)
+        assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 3]
+        assert [(r.doc_id, r.item_id) for r in decontam.contaminations(docs, bench, max_bytes=max_bytes).collect()] == [(1, 9)]
+
+
 def test_items_longer_than_the_document_and_shorter_than_a_shingle(spark):
     rng = np.random.default_rng(9)
     w = [f"w{x}" for x in rng.permutation(500)]

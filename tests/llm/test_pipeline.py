@@ -21,7 +21,7 @@ def test_run_matches_its_stages_by_brute_force(spark, sf_dir):
     pieces = corpus_pipeline.run(spark, sf_dir).withColumn("ids_crc32", F.crc32("ids")).collect()
     out = {r.doc_id for r in pieces}
     prints = brute([(d, simhash.simhash(texts[d].encode())) for d in sorted(kept)])
-    items = decontam.Items([(r.item_id, r.text) for r in table(spark, sf_dir, "benchmark").collect()], 5, 23)
+    items = decontam.Items([(r.item_id, r.text.encode()) for r in table(spark, sf_dir, "benchmark").collect()], 5, 23)
     want = {d for d in kept if prints[d] == d and not items.matches(texts[d].encode(), 0.8)}
     assert out <= want and len(want - out) <= 2  # of those some are near the language threshold
     check_pieces(pieces, {d: texts[d] for d in out})
