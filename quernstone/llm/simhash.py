@@ -163,8 +163,8 @@ def _set_of(text: bytes | None, shingle: int) -> tuple[int, np.ndarray]:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED) if len(found) else 0).view(np.int64)), found
 
 
-def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes: int) -> np.ndarray:
-    """The shingles by which a set of ``found`` meets all sets that may be similar enough.
+def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes: int) -> tuple[int, np.ndarray]:
+    """The shingles by which a set of ``found`` meets all sets that may be similar enough, and how many were rare.
 
     All shingles have one order: those that aren't in ``common`` by hash, then those of ``common`` from its end.
     Two sets of at least ``similarity`` have a shingle in common among their first n - ceil(similarity * n) + 1 of
@@ -180,10 +180,10 @@ def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes
         rank[hit] = len(common) - order[at[hit]]
     first = np.lexsort((found, rank))[: n - math.ceil(similarity * n - 1e-9) + 1] if n else np.zeros(0, np.int64)
     rare = int((rank[first] == 0).sum())
-    return found[np.concatenate((first[:rare][:probes], first[rare:][:probes]))]
+    return rare, found[np.concatenate((first[:rare][:probes], first[rare:][:probes]))]
 
 
-def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, sampled: int = 4096, most: int = 100_000) -> np.ndarray:
+def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, sampled: int = 8192, most: int = 100_000) -> np.ndarray:
     """The most frequent shingles of some ``sampled`` texts, most frequent first. They order, and decide nothing."""
     n = max(1, docs.count() // sampled)
     some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(n)) == 0).dropDuplicates([text_col])
@@ -193,35 +193,40 @@ def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str,
     return np.array([r.s for r in rows], np.int64).view(np.uint64)
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, wide: int = 44, probes: int = 32, broadcast_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, wide: int = 40, probes: int = 32, broadcast_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``fingerprint`` (of the set of shingles) and ``component_id``, over links of similar texts.
 
     Two texts are linked if the shingles in both are at least ``similarity`` of those in either, each counted once;
     every link is counted exactly. Texts are proposed in two ways. One is SimHash: fingerprints at ``radius`` or
     fewer differing bits, by ``pigeonring_links``. Pairs that just reach 0.8 differ in 10 of 64 bits on average, a
     radius at which no segment prunes, so the other is a second key, ``second_keys``. Pairs that meet by a second
-    key are counted only if two fingerprints of 64 bits differ in ``wide`` bits at most, some five standard
-    deviations more than pairs of 0.8 do, and their sizes allow the similarity.
-
-    First each text is counted against one text of each way (the smallest of those that it meets), which already
-    joins most of a large group; then the texts that meet and are not yet in one component. Ids and nulls are
-    treated as by ``near_duplicates``.
+    key are counted only if two fingerprints of 64 bits differ in ``wide`` bits at most, five standard deviations
+    more than pairs of 0.8 do, and if their sizes, and what follows the key in the order, allow the similarity.
+    Copies of one text have the shingles that were changed in them before those that many copies have, so of a
+    large group only those meet that have few changes.
+
+    First each text is counted against one text of each way, which joins most of a large group: of the second, the
+    nearest of those that have a key earliest in the order, which are the least changed. Then the texts are that
+    meet and are not yet in one component. Ids and nulls are treated as by ``near_duplicates``.
     """
     common = _common_shingles(docs, shingle, id_col, text_col)
 
     def described(text: bytes | None) -> tuple:
         name, found = _set_of(text, shingle)
         other = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return name, len(found), majority(found), majority(other ^ (other >> np.uint64(32))), second_keys(found, common, similarity, probes)
+        return name, len(found), majority(found), majority(other ^ (other >> np.uint64(32))), *second_keys(found, common, similarity, probes)
 
-    rows = cut_lineage(_mapped(docs, described, "fingerprint long, size long, a long, b long, keys array<long>", id_col, text_col))
-    firsts = (F.first(c).alias(c) for c in ("size", "a", "b", "keys"))
+    rows = cut_lineage(_mapped(docs, described, "fingerprint long, size long, a long, b long, rare long, keys array<long>", id_col, text_col))
+    firsts = (F.first(c).alias(c) for c in ("size", "a", "b", "rare", "keys"))
     nodes = cut_lineage(rows.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("first_id"), *firsts))
 
+    def apart(x: str, y: str) -> Column:
+        return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in "ab")
+
     def close(x: str, y: str) -> Column:
-        apart = sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in "ab")
-        small, large = F.least(f"{x}.size", f"{y}.size"), F.greatest(f"{x}.size", f"{y}.size")
-        return (F.col(f"{x}.fingerprint") != F.col(f"{y}.fingerprint")) & (apart <= wide) & (small >= large * similarity - 1e-6)
+        rest = F.least(F.col(f"{x}.size") - F.col(f"{x}.place"), F.col(f"{y}.size") - F.col(f"{y}.place"))
+        possible = rest * (1 + similarity) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * similarity - 1e-6
+        return (F.col(f"{x}.fingerprint") != F.col(f"{y}.fingerprint")) & possible & (apart(x, y) <= wide)
 
     def counted(pairs: DataFrame) -> DataFrame:
         pairs = cut_lineage(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
@@ -241,11 +246,13 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     ring = ring.join(prints.toDF("src", "x"), "src").join(prints.toDF("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
 
     # Moved once: both the heads and the rows that meet them are of this exchange.
-    text = F.struct("fingerprint", "size", "a", "b")
-    keyed = nodes.select(F.explode("keys").alias("key"), text.alias("x")).repartition("key")
+    place = F.when(F.col("at") < probes, F.col("at")).otherwise(F.col("at") + F.greatest(F.col("rare") - probes, F.lit(0))).cast("long")
+    text = F.struct(place.alias("place"), "fingerprint", "size", "a", "b")
+    keyed = nodes.select(F.posexplode("keys").alias("at", "key"), "fingerprint", "size", "a", "b", "rare").select("key", text.alias("x")).repartition("key")
     heads = keyed.groupBy("key").agg(F.min("x").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     met = cut_lineage(keyed.join(heads, "key"))
-    star = met.filter(close("x", "head")).groupBy(F.col("x.fingerprint").alias("dst")).agg(F.min("head.fingerprint").alias("src"))
+    nearest = F.min_by("head.fingerprint", F.struct(apart("x", "head"), "head.fingerprint"))
+    star = met.filter(close("x", "head")).groupBy(F.col("x.fingerprint").alias("dst")).agg(nearest.alias("src"))
     links = counted(same.unionByName(ring).unionByName(star))
 
     labels = connected_components(links).select(F.col("node").alias("of"), "label")
