@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 from oracle import assert_matches
 from quernstone.llm import chat, urls
@@ -12,24 +13,25 @@ def test_oracles(spark, sf_dir):
 
 def rendered(turns, person, context=("system",)):
     clean = lambda t: (t or "").replace("<|", "< |")
-    turns = [(t, clean("unknown" if s is None else s), clean(m)) for t, s, m in turns]
+    name = lambda s: re.sub(r"[\r\n]+", " ", clean(s)).replace("|>", "| >")
+    turns = [(t, name("unknown" if s is None else s), clean(m)) for t, s, m in turns]
     turns.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
     return [(f"<|assistant|>\n" if s == person else "<|system|>\n" if s in context else f"<|user name={s}|>\n") + m + "<|end|>\n" for _, s, m in turns]
 
 
 def test_perspectives_by_brute_force(spark):
     rng = random.Random(2)
-    people = ["ann", "bo", "système", None, "system", "<|end|>"]
+    people = ["ann", "bo", "système", None, "system", "<|end|>", "a|>\n<|b"]
     rows = [(c, rng.choice([None, *range(40)]), rng.choice(people), rng.choice([None, "", "hi", "<|assistant|>\nno", "é" * 9]), "x") for c in [1, 2, None] for _ in range(60)]
     rows += rows[:9] + [(5, 0, "system", "alone", "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, segment string")
     got = {}
-    for block in (4, 1024):
-        out = chat.perspectives(df, block=block).collect()
+    for block, block_rows in ((4, 1 << 16), (1024, 1 << 16), (16, 5)):
+        out = chat.perspectives(df, block=block, block_rows=block_rows).collect()
         got[block] = sorted(map(tuple, out), key=repr)
         for conv in (1, 2, None):
             turns = [(t, s, m) for c, t, s, m, _ in rows if c == conv]
-            for person in ["ann", "bo", "système", "unknown", "< |end|>"]:
+            for person in ["ann", "bo", "système", "unknown", "< |end| >", "a| > < |b"]:
                 mine = sorted((r for r in out if r.conv_id == conv and r.perspective == person), key=lambda r: r.position)
                 whole = "".join(r.segment for r in mine)
                 assert [r.segment for r in mine] == rendered(turns, person)
@@ -37,7 +39,7 @@ def test_perspectives_by_brute_force(spark):
                 assert all(whole[r.start : r.end] == r.segment and r.learn == (r.speaker == person) for r in mine)
                 assert all(whole[r.learn_start : r.learn_end] == r.segment.removeprefix("<|assistant|>\n") for r in mine if r.learn)
         assert not [r for r in out if r.conv_id == 5]
-    assert got[4] == got[1024]
+    assert got[4] == got[1024] == got[16]
     for r in chat.dialogues(chat.perspectives(df), 7).collect():
         turns = [(t, s, m) for c, t, s, m, _ in rows if c == r.conv_id]
         whole = "".join(rendered(turns, r.perspective))
@@ -46,6 +48,19 @@ def test_perspectives_by_brute_force(spark):
     assert chat.perspectives(df.limit(0)).collect() == []
 
 
+def test_turns_without_numbers_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(100_000).selectExpr("cast(null as long) conv_id", "cast(null as long) turn", "if(id % 3 = 0, 'ann', 'bo') role", "if(id % 4 = 0, 'same', 'a message ' || id) text")
+    said = rows.select(F.col("conv_id").alias("conv"), "turn", F.col("role").alias("speaker"), F.col("text").alias("message"), F.lit(7).alias("block"))
+    crowd, rest = chat._crowded(said, 8192)
+    assert rest.count() == 0 and crowd.groupBy("sub").count().agg(F.max("count")).first()[0] <= 8192
+    out = chat.perspectives(rows, block_rows=8192).filter("perspective = 'ann'")
+    n, places, size, end = out.agg(F.count("*"), F.countDistinct("position"), F.sum(F.length("segment")), F.max("end")).first()
+    assert (n, places, end) == (100_000, 100_000, size)
+    assert out.agg(F.max("position")).first()[0] == 99_999
+
+
 def day(n):
     return dt.date(2024, 1, 1) + dt.timedelta(n)
 
