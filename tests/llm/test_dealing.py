@@ -139,6 +139,24 @@ def test_sum_of_squares_choice():
     assert list(np.flatnonzero(p.level)) == [6] and p.level[6] == 1
 
 
+@pytest.mark.parametrize("share", [0.05, 0.4, 0.7, 1.0])
+def test_topk_scatter_of_sparse_and_dense_rows(share):
+    rng = np.random.default_rng(2)
+    c = rng.integers(-9, 9, (500, 40)) * (rng.random((500, 40)) < share)
+    q = rng.integers(-9, 9, (150, 40)) * (rng.random((150, 40)) < share)
+    q_ids, c_ids = np.arange(1000, 1150), rng.permutation(500)
+    got = topk.search_block(q_ids, q, c_ids, c, 7)
+    scores = q @ c.T
+    want = [(q_ids[r], c_ids[k], scores[r, k]) for r in range(150) for k in np.lexsort((c_ids, -scores[r]))[:7]]
+    assert sorted(zip(*got)) == sorted(want)
+
+
+def test_topk_beyond_64_bits():
+    one, codes = np.array([1]), np.array([[np.iinfo(np.int64).max, 256]])
+    with pytest.raises(OverflowError):
+        topk.search_block(one, codes, one + 1, codes, 1)
+
+
 @given(st.lists(st.integers(1, 31), max_size=120), st.integers(1, 12))
 @settings(max_examples=60, deadline=None)
 def test_placed_pieces_fill_windows(sizes, max_open):
