@@ -137,3 +137,38 @@ def test_stream_filters_new_shards(spark, tmp_path):
         pq.write_table(pa.table({"audio_file": [f"f{k}"], "speaker": ["s"], "duration": [d]}), src / f"train-{k}.parquet")
         incremental.filter_new_shards(spark, str(src), str(out), str(tmp_path / "state")).awaitTermination()
     assert [r.audio_file for r in spark.read.parquet(str(out)).collect()] == ["f0"]
+
+
+def test_band_measures_against_loops():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=9000) * 0.1 + np.sin(np.arange(9000) * 2.4)
+    frames = [x[k : k + 2048] * np.hanning(2048) for k in range(0, 9000 - 2047, 512)]
+    hz, amplitude = np.fft.rfftfreq(2048, 1 / 24_000), [np.abs(np.fft.rfft(f)) for f in frames]
+    part = lambda lo, hi: [k for k, h in enumerate(hz) if lo <= h < hi]
+    power = [a**2 for a in amplitude]
+    low, high = (np.mean([sum(p[k] for k in part(*b)) for p in power]) for b in ((300, 8000), (8200, 11_500)))
+    flat = np.mean([np.exp(np.mean([np.log(p[k] + 1e-20) for k in part(8200, 11_500)])) for p in power]) / np.mean([[p[k] for k in part(8200, 11_500)] for p in power])
+    got, mean = audio.profile_of(x), np.mean(power, axis=0)
+    assert np.isclose(got["high_low_db"], 10 * np.log10(high / low)) and np.isclose(got["flatness"], flat)
+    assert np.isclose(got["centroid_hz"], sum(p @ hz for p in power) / np.sum(power))
+    for k in range(7, 12):
+        m = mean[part(1000 * k, 1000 * k + 1000)]
+        assert np.isclose(got[f"pkmean_{k}_{k + 1}k"], m.max() / m.mean()) and np.isclose(got[f"db_{k}_{k + 1}k"], 10 * np.log10(m.mean() / mean.max()))
+    got = audio.bands_of(x)
+    for a, b in audio.BAND_EDGES:
+        m = np.array([f[part(1000 * a, 1000 * b)] for f in amplitude])
+        assert np.isclose(got[f"db_{a}_{b}k"], 20 * np.log10(m.mean())) and np.isclose(got[f"pkmean_{a}_{b}k"], m.max(axis=1).mean() / m.mean())
+
+
+def test_trim_of_planted_silence():
+    import numpy as np
+
+    x = np.concatenate([np.zeros(3000), np.full(2000, 0.5), np.zeros(100), np.full(500, -0.5), np.zeros(2000)]).astype(np.float32)
+    got = audio.trimmed(x)
+    want = x[3000 - 480 : 5599 + 480].copy()
+    want[:120] *= np.linspace(0, 1, 120, dtype=np.float32)
+    want[-120:] *= np.linspace(1, 0, 120, dtype=np.float32)
+    assert np.allclose(got, want) and len(got) == len(want)
+    assert len(audio.trimmed(x[:3000])) == 3000 and len(audio.trimmed(np.full(100, 0.1, np.float32))) == 100 and len(audio.trimmed(x[:0])) == 0
