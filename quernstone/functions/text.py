@@ -42,13 +42,14 @@ def latin_runs(c: Column) -> Column:
     return F.regexp_count(_uncited(c), F.lit("[A-Za-z]+")).cast("long")
 
 
-def normalize_marks(c: Column, passes: int = 8) -> Column:
-    """Shadda before the other marks of its run, and no mark twice in a row.
-
-    A pass moves every run of shaddas before the marks that precede it; a run in which they alternate k times
-    needs k passes at most, which no written word comes near.
-    """
-    moved = reduce(lambda x, _: F.regexp_replace(x, f"([{SHORT_MARKS}]+)({SHADDA}+)", "$2$1"), range(passes), c)
+def normalize_marks(c: Column) -> Column:
+    """Of each run of marks, the shaddas first and then the others in their order; no mark twice in a row."""
+    run = f"[{SHORT_MARKS}{SHADDA}]+"
+    parts = F.split(F.regexp_replace(c, f"({run})", "\u0000$1\u0000"), "\u0000")
+    sorted_run = lambda x: F.concat(F.regexp_replace(x, f"[^{SHADDA}]", ""), F.replace(x, F.lit(SHADDA), F.lit("")))
+    moved = F.array_join(F.transform(parts, lambda x: F.when(x.rlike(f"^{run}$"), sorted_run(x)).otherwise(x)), "")
+    # Texts without a misplaced shadda, nearly all, need no parts; nor do those with the sign that parts are split by.
+    moved = F.when(c.rlike(f"[{SHORT_MARKS}]{SHADDA}"), moved).otherwise(c)
     return F.regexp_replace(moved, f"([{SHORT_MARKS}{SHADDA}])\\1+", "$1")
 
 
@@ -132,15 +133,18 @@ def stem(c: Column) -> Column:
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Unit-cost Levenshtein distance of two arrays; one row of the table at a time."""
-    columns = F.when(F.size(b) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(1), F.size(b)))
+    """Unit-cost Levenshtein distance of two arrays; nulls are equal to nulls.
 
-    def next_row(row: Column, x: Column) -> Column:
-        def cell(now: Column, j: Column) -> Column:
-            swap = F.get(row, j - 1) + F.when(x.eqNullSafe(F.get(b, j - 1)), 0).otherwise(1)
-            return F.array_append(now, F.least(F.get(row, j) + 1, F.get(now, j - 1) + 1, swap))
+    Each distinct element of the pair becomes a character, so that the built-in ``levenshtein`` does the work, in
+    time in the product of the sizes. Characters skip the surrogates (and the byte order mark behind them); the
+    pair may have a million distinct elements.
+    """
 
-        return F.aggregate(columns, F.array(F.get(row, F.lit(0)) + 1), cell)
+    def spelt(x: Column, known: Column) -> Column:
+        place = lambda w: F.coalesce(F.array_position(known, w), F.lit(0))
+        code = lambda p: F.when(p < 0xD7FF, p + 1).otherwise(p + 1 + 0x2800)
+        digits = F.transform(x, lambda w: F.lpad(F.hex(code(place(w))), 8, "0"))
+        return F.decode(F.unhex(F.array_join(digits, "")), "UTF-32")
 
-    table = F.aggregate(a, F.sequence(F.lit(0), F.size(b)), next_row)
-    return F.get(table, F.size(b)).cast("long")
+    distinct = F.array(F.array_distinct(F.concat(a, b)))
+    return F.get(F.transform(distinct, lambda known: F.levenshtein(spelt(a, known), spelt(b, known))), F.lit(0)).cast("long")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.functions import alignment, text, vectors
+from quernstone.functions import alignment, audio, text, vectors
 from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, PHONEME_NOISE, QAF, SHADDA, SHORT_MARKS, TATWEEL, WER_PUNCTUATION
 from quernstone.operators import cohort, frontend, pairs, pools, quality, scoring, verdicts
 from quernstone.plans import views
@@ -391,15 +391,56 @@ SPOKEN = [("سورة البقرة", "suurat albaqarat"), ("ذبحنا البقر
 LEXICON = ["القران", "الفقه"]
 
 
-@query()
-def dialect_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: A word's letters, as ``undiacritize`` has them; ``@`` stands for the word.
+BARE = _no_marks(_fold(f"regexp_replace(@, '[{MARKS}]', '', 'g')"))
+SPEECH = (
+    f"""WITH squeezed AS (SELECT doc_id AS idx, {_squeeze("text")} AS s FROM documents),
+said AS (SELECT idx, translate(s, 'q', '{QAF}') AS text, CASE WHEN idx % 5 = 4 THEN s || ' more' ELSE s END AS phonemes FROM squeezed
+  UNION ALL VALUES """
+    + ", ".join(f"({-1 - k}, '{t}', '{p}')" for k, (t, p) in enumerate(SPOKEN))
+    + f"""),
+lists AS (SELECT idx, text, string_split(text, ' ') AS w, string_split(translate({UNDOTTED.replace(DOTTED, "phonemes")}, '{PHONEME_NOISE}', ''), ' ') AS p FROM said),
+keeping AS (SELECT *, list_transform(range(1, len(w) + 1), lambda i: contains(w[i], '{QAF}') AND (list_contains({LEXICON}, {BARE.replace("@", "w[i]")}) OR (i > 1 AND list_contains({list(text.SURA_TRIGGERS)}, {BARE.replace("@", "w[i - 1]")})))) AS k FROM lists),
+spoken AS (SELECT idx, text = '' AS silent, len(w) <> len(p) AS uneven, len(w) AS n, len(list_filter(w, lambda x: contains(x, '{QAF}'))) AS q, len(list_filter(k, lambda x: x)) AS kept,
+  array_to_string(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN k[i] THEN p[i] ELSE replace(p[i], 'q', '{text.DIALECT_G}') END), ' ') AS said FROM keeping)
+"""
+)
+
+
+def _phonemized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, with qaf for q as words and the text itself, at each fifth with a word more, as phonemes; and the literals under negative ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.collapse(F.col("text")).alias("text"))
     sounds = F.when(F.col("doc_id") % 5 == 4, F.concat("text", F.lit(" more"))).otherwise(F.col("text"))
     docs = docs.select(F.col("doc_id").alias("idx"), F.translate("text", "q", QAF).alias("text"), sounds.alias("phonemes"))
     rows = docs.unionByName(spark.createDataFrame([(-1 - k, t, p) for k, (t, p) in enumerate(SPOKEN)], "idx long, text string, phonemes string"))
-    found = frontend.phonemized(rows, F.array(*map(F.lit, LEXICON)))
-    return found.select("idx", "spoken", "misaligned", "n_words", "n_q_words", "n_q_kept")
+    return frontend.phonemized(rows, F.array(*map(F.lit, LEXICON)))
+
+
+@query(SPEECH + "SELECT idx, CASE WHEN silent THEN '' WHEN NOT uneven THEN said END AS spoken, NOT silent AND uneven AS misaligned, CASE WHEN silent THEN 0 ELSE n END AS n_words, q AS n_q_words, kept AS n_q_kept FROM spoken")
+def dialect_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _phonemized(spark, sf_dir).select("idx", "spoken", "misaligned", "n_words", "n_q_words", "n_q_kept")
+
+
+@query(
+    SPEECH
+    + f"""SELECT CAST(sum(CASE WHEN silent THEN 0 ELSE n END) AS BIGINT) AS words, CAST(sum(q) AS BIGINT) AS q_words, CAST(sum(kept) AS BIGINT) AS q_kept, CAST(sum(q - kept) AS BIGINT) AS q_rewritten,
+  count(*) FILTER (NOT silent AND uneven) AS misaligned_sentences, CAST(sum(len(regexp_extract_all({UNCITED.replace("text", "said.text")}, '[A-Za-z]+'))) AS BIGINT) AS latin_dropped FROM spoken JOIN said USING (idx)"""
+)
+def frontend_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frontend.counters(_phonemized(spark, sf_dir))
+
+
+@query(f"{TEXTS}, ch AS (SELECT unnest(string_split(text, '')) AS symbol FROM texts) SELECT CAST(count(*) AS BIGINT) AS oov, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM ch WHERE symbol <> '' AND symbol NOT IN (SELECT chr(CAST(c AS INTEGER)) FROM range(97, 123) t(c))")
+def frontend_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frontend.gate(oov_count(spark, sf_dir), 0, 1)
+
+
+@query(f"SELECT doc_id, len(list_filter(w, lambda x, i: i > 1 AND x = w[i - 1])) AS repeats FROM (SELECT doc_id, list_filter(string_split({_squeeze('text')}, ' '), lambda x: x <> '') AS w FROM documents)")
+def repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that equal the word before."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.tokens(F.col("text")).alias("w"))
+    same = F.zip_with("w", text.previous_words(F.col("w")), lambda x, y: x == y)
+    return rows.select("doc_id", F.size(F.filter(same, lambda x: x)).cast("long").alias("repeats"))
 
 
 def _marked(c: Column) -> Column:
@@ -433,6 +474,103 @@ def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.posexplode(chunks).alias("idx", "c")).select("doc_id", "idx", "c.text", "c.kind")
 
 
+# Measures of sound and what they say ---------------------------------------------------------------------------------
+
+#: Measures of files by rule: every event is one, and the events of odd users are the reference's.
+MEASURES = """
+SELECT event_id, user_id % 2 = 1 AS of_ref, value / 490.0D AS dead_frac, -60.0D + event_id % 70 AS high_low_db, (event_id % 11) / 10.0D AS flatness,
+       1.0D + event_id % 13 AS pkmean_8_9k, 1.0D + event_id % 17 AS pkmean_9_10k, 1.0D + event_id % 5 AS pkmean_10_11k, 1.0D + event_id % 3 AS pkmean_11_12k,
+       1.0D + event_id % 9 AS pkmean_8_10k, 1.0D + event_id % 4 AS pkmean_10_12k, -30.0D - event_id % 40 AS db_8_10k
+FROM events"""
+METRICS = ["dead_frac", "high_low_db", "flatness", *verdicts.TONAL, "pkmean_8_10k", "pkmean_10_12k", "db_8_10k"]
+MEASURED = "WITH m AS (" + views.duckdb_numbers(MEASURES) + "), r AS (SELECT " + ", ".join(f"avg({c}) AS ref_{c}" for c in METRICS) + " FROM m WHERE of_ref)"
+
+
+def _measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(MEASURES.replace("FROM events", "FROM {events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def _with_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every file's measures, with the reference's means."""
+    rows = _measures(spark, sf_dir)
+    means = verdicts.mean_metrics(rows.filter("of_ref"), METRICS).select(*(F.col(c).alias(f"ref_{c}") for c in METRICS))
+    return rows.join(F.broadcast(means))
+
+
+@query(
+    MEASURED
+    + """ SELECT event_id, CASE WHEN dead_frac > 0.5 OR high_low_db < -45 THEN 'ZEROED'
+  WHEN pkmean_8_9k > greatest(3 * ref_pkmean_8_9k, 6) OR pkmean_9_10k > greatest(3 * ref_pkmean_9_10k, 6) OR pkmean_10_11k > greatest(3 * ref_pkmean_10_11k, 6) OR pkmean_11_12k > greatest(3 * ref_pkmean_11_12k, 6) THEN 'TONAL'
+  WHEN flatness > 0.6 AND high_low_db > ref_high_low_db + 6 THEN 'HISSING' ELSE 'STRUCTURED' END AS verdict FROM m, r"""
+)
+def band_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_reference(spark, sf_dir).select("event_id", verdicts.band_verdict().alias("verdict"))
+
+
+@query(MEASURED + " SELECT event_id, CASE WHEN greatest(pkmean_8_10k / ref_pkmean_8_10k, pkmean_10_12k / ref_pkmean_10_12k) > 2 THEN 'BUZZ' WHEN db_8_10k - ref_db_8_10k < -20 THEN 'DEAD' ELSE 'OK' END AS verdict FROM m, r")
+def bandwidth_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_reference(spark, sf_dir).select("event_id", verdicts.bandwidth_verdict().alias("verdict"))
+
+
+@query(MEASURED + ", v AS (SELECT " + ", ".join(f"avg({c}) AS {c}" for c in METRICS) + " FROM m WHERE NOT of_ref) " + " UNION ALL ".join(f"SELECT '{c}' AS metric, round({c}, 6) AS value, round(ref_{c}, 6) AS ref FROM v, r" for c in METRICS))
+def against_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _measures(spark, sf_dir)
+    run, ref = (verdicts.mean_metrics(rows.filter(c), METRICS).unpivot([], METRICS, "metric", "value") for c in ("not of_ref", "of_ref"))
+    return rounded(verdicts.against_reference(run, ref))
+
+
+@query("SELECT count(*) AS pieces, round(median(value / greatest(user_id / 10.0::DOUBLE, 1e-6)), 6) AS median_rtf, max(user_id / 10.0::DOUBLE) AS longest FROM events")
+def synthesis_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("value").alias("seconds"), (F.col("user_id") / 10.0).alias("dur"))
+    return rounded(scoring.synthesis_report(rows))
+
+
+@query("SELECT bool_and(n_chars >= 0 AND text IS NOT NULL) AS passed FROM documents")
+def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts.preflight(spark.read.parquet(f"{sf_dir}/documents.parquet").select((F.col("text").isNotNull() & (F.col("n_chars") >= 0)).alias("ok")))
+
+
+@query("SELECT doc_id, coalesce(lang, '') AS lang FROM documents WHERE text <> '' AND n_chars + 2 <= 510")
+def within_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").filter(quality.has_text("text") & quality.within_budget("n_chars"))
+    return quality.filled(rows.select("doc_id", "lang"), "lang")
+
+
+@query(GOOD + " SELECT f.audio_file, g.speaker, f0_median FROM features f JOIN good g USING (audio_file) WHERE NOT isnan(f0_median)")
+def keep_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.features(spark, sf_dir).filter(~F.isnan("f0_median"))
+    return cohort.keep_selected(rows, quality.row_quality(views.clips(spark, sf_dir))).select("audio_file", "speaker", "f0_median")
+
+
+WAVES = "WITH waves AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)"
+
+
+@query(WAVES + ", tops AS (SELECT vec_id, v, list_max(list_transform(v, lambda x: abs(x))) AS top FROM waves) SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(x / top * 0.95, 6) AS x FROM (SELECT vec_id, top, unnest(v) AS x, unnest(range(len(v))) AS pos FROM tops WHERE top >= 1e-5)")
+def peak_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as short waves."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(quality.audible("embedding"))
+    return rounded(rows.select("vec_id", F.posexplode(vectors.peak_normalize(F.col("embedding"))).alias("pos", "x")))
+
+
+@query(WAVES + " SELECT vec_id, CAST(k // 4 AS INTEGER) AS frame, round(list_sum(v[k + 1 : k + 16]), 6) AS total FROM (SELECT vec_id, v, unnest(range(0, len(v) - 15, 4)) AS k FROM waves)")
+def frame_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    rows = rows.select("vec_id", F.posexplode(vectors.frames(F.col("v"), 16, 4)).alias("frame", "f"))
+    return rounded(rows.select("vec_id", "frame", F.aggregate("f", F.lit(0.0), lambda t, x: t + x).alias("total")))
+
+
+PAUSED = ", ".join(f"('{k}', {int(v * audio.RATE)})" for k, v in audio.PAUSES.items())
+
+
+@query(f"SELECT vec_id, kind, len(embedding) + n AS samples, round(CAST(0.25 AS DOUBLE), 6) AS kept FROM embeddings JOIN (VALUES {PAUSED}) p(kind, n) ON kind = ['ellipsis', 'stop', 'comma', 'forced'][vec_id % 4 + 1] WHERE list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) > 0")
+def pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as waves with a pause by kind, and the power that half the amplitude keeps."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(vectors.norm(F.col("embedding")) > 0)
+    kind = F.element_at(F.array(*map(F.lit, ("ellipsis", "stop", "comma", "forced"))), (F.col("vec_id") % 4 + 1).cast("int"))
+    rows = rows.withColumns({"kind": kind, "half": F.transform("embedding", lambda x: x / 2)})
+    return rounded(rows.select("vec_id", "kind", F.size(audio.with_pause(F.col("embedding"), F.col("kind"))).cast("long").alias("samples"), audio.retained_power(F.col("half"), F.col("embedding")).alias("kept")))
+
+
 # Scoring ---------------------------------------------------------------------------------------------------------
 
 #: Letters beyond ASCII of the tables' texts; DuckDB's levenshtein counts bytes, so each becomes one ASCII byte that no normalised text has.
@@ -444,11 +582,11 @@ SCORED = (
     WITH.replace("WITH ", "WITH RECURSIVE ", 1)
     + f""", normed AS (SELECT idx, category, {NORMED.replace("{0}", "ref")} AS r, {NORMED.replace("{0}", "hyp")} AS h FROM pairs),
 listed AS (SELECT *, {WORDS.format("r")} AS a, {WORDS.format("h")} AS b FROM normed),
-dp AS (SELECT idx, 0 AS i, range(0, len(b) + 1) AS line, a, b FROM listed
+dp AS (SELECT idx, 0 AS i, range(0, len(b) + 1) AS line FROM listed
   UNION ALL
-  SELECT idx, i + 1, list_reduce(range(1, len(b) + 1), lambda cur, j: list_append(cur, least(line[j + 1] + 1, cur[j] + 1, line[j] + CASE WHEN a[i + 1] <> b[j] THEN 1 ELSE 0 END)), [line[1] + 1]), a, b
-  FROM dp WHERE i < len(a)),
-edits AS (SELECT idx, line[len(b) + 1] AS word_edits FROM dp WHERE i = len(a)),
+  SELECT idx, i + 1, list_reduce(range(1, len(b) + 1), lambda cur, j: list_append(cur, least(line[j + 1] + 1, cur[j] + 1, line[j] + CASE WHEN a[i + 1] <> b[j] THEN 1 ELSE 0 END)), [line[1] + 1])
+  FROM dp JOIN listed USING (idx) WHERE i < len(a)),
+edits AS (SELECT idx, line[len(b) + 1] AS word_edits FROM dp JOIN listed USING (idx) WHERE i = len(a)),
 scored AS (SELECT idx, category, r, word_edits, CAST(len(a) AS BIGINT) AS words, CAST(length(r) AS BIGINT) AS chars,
   levenshtein(translate(r, '{ACCENTED}', '{STAND_INS[: len(ACCENTED)]}'), translate(h, '{ACCENTED}', '{STAND_INS[: len(ACCENTED)]}')) AS char_edits FROM listed JOIN edits USING (idx))
 """

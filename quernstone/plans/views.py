@@ -43,14 +43,18 @@ _SPARK = {
 }
 _DUCKDB = {
     "string": "VARCHAR",
-    "slice": "string_split(a.text, ' ')[1:30]",
-    "other": "string_split(b.text, ' ')[1:30]",
-    "dropped": "list_filter(string_split(a.text, ' ')[1:30], lambda w, i: i % 7 <> 4)",
+    "slice": "string_split(a.text, ' ')",
+    "other": "string_split(b.text, ' ')",
+    "dropped": "list_filter(string_split(a.text, ' '), lambda w, i: i % 7 <> 4)",
 }
 
 
 def _duckdb(sql: str) -> str:
-    sql = sql.format(**_DUCKDB).replace("array_join(", "array_to_string(")
+    return duckdb_numbers(sql.format(**_DUCKDB).replace("array_join(", "array_to_string("))
+
+
+def duckdb_numbers(sql: str) -> str:
+    """Spark's double literals as DuckDB has them."""
     return re.sub(r"([0-9.]+)D\b", r"CAST(\1 AS DOUBLE)", sql)
 
 

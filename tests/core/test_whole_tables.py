@@ -1,4 +1,4 @@
-"""Queries without SQL, or whose SQL has less, by brute force over whole tables."""
+"""Queries without SQL, and scores of whole turns, by brute force over whole tables."""
 
 import re
 
@@ -61,3 +61,30 @@ def test_pairs_are_scored_as_whole_turns(spark, sf_dir):
     total = registry.QUERIES["wer_cer"](spark, sf_dir).first()
     assert total.wer == pytest.approx(sum(w[0] for w in want.values()) / sum(w[2] for w in want.values()), abs=2e-6)
     assert total.cer == pytest.approx(sum(w[1] for w in want.values()) / sum(w[3] for w in want.values()), abs=2e-6)
+
+
+def test_edit_distance_of_long_texts(spark):
+    from random import Random
+
+    rng = Random(3)
+    a = [f"w{rng.randrange(4000)}" for _ in range(5000)]
+    b = [w for w in a if rng.random() > 0.1] + ["end"] * 7
+    line = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, line[0] = line[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, diagonal + (x != y))
+    df = spark.createDataFrame([(1, a, b), (3, [None], []), (4, [None, "a"], [None, "b"])], "k int, a array<string>, b array<string>")
+    got = {r.k: r.d for r in df.select("k", registry.text.edit_distance(F.col("a"), F.col("b")).alias("d")).collect()}
+    assert got == {1: line[-1], 3: 1, 4: 1}
+
+
+def test_normalize_marks_of_long_runs(spark):
+    import random
+
+    rng, marks = random.Random(4), registry.SHORT_MARKS + registry.SHADDA
+    texts = ["".join(rng.choice(["b", " ", *marks, registry.SHADDA]) for _ in range(60)) for _ in range(200)] + ["", "b" + "\u064e\u0651" * 30]
+    tidy = lambda m: registry.SHADDA * m[0].count(registry.SHADDA) + m[0].replace(registry.SHADDA, "")
+    want = {t: re.sub(f"([{marks}])\\1+", r"\1", re.sub(f"[{marks}]+", tidy, t)) for t in texts}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.n for r in df.select("t", registry.text.normalize_marks(F.col("t")).alias("n")).collect()} == want
