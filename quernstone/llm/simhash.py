@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.common import connected_components, cut_lineage
 
-#: Seed of the shingle hash.
-SEED = 42
+#: Seed of the shingle hash, and the names of a set's fingerprints.
+SEED, PRINTS = 42, ("a", "b", "c", "d")
 
 
 def shingle_hashes(text: bytes | None, shingle: int = 3) -> np.ndarray:
@@ -163,6 +163,16 @@ def _set_of(text: bytes | None, shingle: int) -> tuple[int, np.ndarray]:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED) if len(found) else 0).view(np.int64)), found
 
 
+def prints(found: np.ndarray, n: int) -> list[int]:
+    """SimHashes of a set of hashes, and of hashes of them."""
+    out = []
+    for _ in range(n):
+        out.append(majority(found))
+        found = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        found = found ^ (found >> np.uint64(32))
+    return out
+
+
 def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes: int) -> tuple[int, np.ndarray]:
     """The shingles by which a set of ``found`` meets all sets that may be similar enough, and how many were rare.
 
@@ -193,15 +203,15 @@ def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str,
     return np.array([r.s for r in rows], np.int64).view(np.uint64)
 
 
-def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, wide: int = 40, probes: int = 32, broadcast_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 3, wide: int = 60, probes: int = 32, broadcast_ids: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``fingerprint`` (of the set of shingles) and ``component_id``, over links of similar texts.
 
     Two texts are linked if the shingles in both are at least ``similarity`` of those in either, each counted once;
     every link is counted exactly. Texts are proposed in two ways. One is SimHash: fingerprints at ``radius`` or
     fewer differing bits, by ``pigeonring_links``. Pairs that just reach 0.8 differ in 10 of 64 bits on average, a
     radius at which no segment prunes, so the other is a second key, ``second_keys``. Pairs that meet by a second
-    key are counted only if two fingerprints of 64 bits differ in ``wide`` bits at most, five standard deviations
-    more than pairs of 0.8 do, and if their sizes, and what follows the key in the order, allow the similarity.
+    key are counted only if four fingerprints of 64 bits differ in ``wide`` bits at most, some four standard
+    deviations more than pairs of 0.8 do (and in more for very small sets), and if their sizes, and what follows the key in the order, allow the similarity.
     Copies of one text have the shingles that were changed in them before those that many copies have, so of a
     large group only those meet that have few changes.
 
@@ -213,20 +223,20 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
 
     def described(text: bytes | None) -> tuple:
         name, found = _set_of(text, shingle)
-        other = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return name, len(found), majority(found), majority(other ^ (other >> np.uint64(32))), *second_keys(found, common, similarity, probes)
+        return name, len(found), *prints(found, len(PRINTS)), *second_keys(found, common, similarity, probes)
 
-    rows = cut_lineage(_mapped(docs, described, "fingerprint long, size long, a long, b long, rare long, keys array<long>", id_col, text_col))
-    firsts = (F.first(c).alias(c) for c in ("size", "a", "b", "rare", "keys"))
+    columns = ", ".join(f"{c} long" for c in ("fingerprint", "size", *PRINTS, "rare"))
+    rows = cut_lineage(_mapped(docs, described, f"{columns}, keys array<long>", id_col, text_col))
+    firsts = (F.first(c).alias(c) for c in ("size", *PRINTS, "rare", "keys"))
     nodes = cut_lineage(rows.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("first_id"), *firsts))
 
     def apart(x: str, y: str) -> Column:
-        return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in "ab")
+        return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in PRINTS)
 
     def close(x: str, y: str) -> Column:
         rest = F.least(F.col(f"{x}.size") - F.col(f"{x}.place"), F.col(f"{y}.size") - F.col(f"{y}.place"))
         possible = rest * (1 + similarity) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * similarity - 1e-6
-        return (F.col(f"{x}.fingerprint") != F.col(f"{y}.fingerprint")) & possible & (apart(x, y) <= wide)
+        return (F.col(f"{x}.fingerprint") != F.col(f"{y}.fingerprint")) & possible & (apart(x, y) <= wide + F.floor(120 / F.greatest(F.least(f"{x}.size", f"{y}.size"), F.lit(1))))
 
     def counted(pairs: DataFrame) -> DataFrame:
         pairs = cut_lineage(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
@@ -240,15 +250,15 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
         shared = F.size(F.array_intersect("a", "b"))
         return cut_lineage(both.filter(shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9).select("src", "dst"))
 
-    prints = nodes.groupBy("a").agg(F.min("fingerprint").alias("named"))
-    same = nodes.join(prints, "a").select(F.col("named").alias("src"), F.col("fingerprint").alias("dst")).filter("src <> dst")
-    ring = pigeonring_links(prints.select(F.col("a").alias("fingerprint")), radius)
-    ring = ring.join(prints.toDF("src", "x"), "src").join(prints.toDF("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
+    named = nodes.groupBy("a").agg(F.min("fingerprint").alias("named"))
+    same = nodes.join(named, "a").select(F.col("named").alias("src"), F.col("fingerprint").alias("dst")).filter("src <> dst")
+    ring = pigeonring_links(named.select(F.col("a").alias("fingerprint")), radius)
+    ring = ring.join(named.toDF("src", "x"), "src").join(named.toDF("dst", "y"), "dst").select(F.col("x").alias("src"), F.col("y").alias("dst"))
 
     # Moved once: both the heads and the rows that meet them are of this exchange.
     place = F.when(F.col("at") < probes, F.col("at")).otherwise(F.col("at") + F.greatest(F.col("rare") - probes, F.lit(0))).cast("long")
-    text = F.struct(place.alias("place"), "fingerprint", "size", "a", "b")
-    keyed = nodes.select(F.posexplode("keys").alias("at", "key"), "fingerprint", "size", "a", "b", "rare").select("key", text.alias("x")).repartition("key")
+    text = F.struct(place.alias("place"), "fingerprint", "size", *PRINTS)
+    keyed = nodes.select(F.posexplode("keys").alias("at", "key"), "fingerprint", "size", *PRINTS, "rare").select("key", text.alias("x")).repartition("key")
     heads = keyed.groupBy("key").agg(F.min("x").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     met = cut_lineage(keyed.join(heads, "key"))
     nearest = F.min_by("head.fingerprint", F.struct(apart("x", "head"), "head.fingerprint"))
