@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.vectors import centroids, dot, norm
+from quernstone.operators.scans import places, running_before
 from quernstone.sources.corpus import measured
 
 #: Columns of a written selection.
@@ -69,10 +70,9 @@ def candidates(profiles: DataFrame, vectors: DataFrame, tolerance: float = 15.0)
 def greedy_prefix(rows: DataFrame, budget: float = 25.0, order: tuple[Column, ...] | None = None, amount: str = "hours") -> DataFrame:
     """Rows in order (cosine falling, then speaker) until ``budget`` is reached; the row that reaches it is in.
 
-    The running sum needs all candidates in one place; they are speakers, not clips.
+    Amounts are summed by ranges of the order, and ranges beyond the budget are not looked into.
     """
-    before = Window.orderBy(*(order or (F.desc("cos"), F.col("speaker")))).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("hours_before", F.coalesce(F.sum(amount).over(before), F.lit(0.0))).filter(F.col("hours_before") < budget)
+    return running_before(rows, list(order or (F.desc("cos"), F.col("speaker"))), F.col(amount).cast("double"), "hours_before", below=budget)
 
 
 def voice_core(rows: DataFrame, vectors: DataFrame, budget: float = 25.0, tolerance: float = 15.0) -> DataFrame:
@@ -89,7 +89,7 @@ def with_core_flag(rows: DataFrame, core: DataFrame) -> DataFrame:
 def dense_ids(rows: DataFrame, key: str = "speaker", name: str = "speaker_id") -> DataFrame:
     """Distinct keys with their places, from 0, in sorted order."""
     keys = rows.select(key).filter(F.col(key).isNotNull()).distinct()
-    return keys.withColumn(name, F.row_number().over(Window.orderBy(key)) - 1)
+    return places(keys, [F.col(key)], name).withColumn(name, F.col(name).cast("int"))
 
 
 def append_ids(ids: DataFrame, more: DataFrame, key: str = "speaker", name: str = "speaker_id") -> DataFrame:
