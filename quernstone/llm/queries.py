@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import chat, decontam, langid, licenses, packing, quality, sharding, simhash, topk, urls
+from quernstone.llm import chat, decontam, langid, licenses, linededup, packing, quality, resampling, sharding, simhash, spelling, topk, urls
 from quernstone.llm.common import table
 
 
@@ -77,6 +77,19 @@ DATED = [
 ]
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -95,7 +108,14 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_urls": op10_urls,
+    "op11_resampling": op11_resampling,
+    "op12_spelling": op12_spelling,
+    "op13_lines": op13_lines,
 }
+#: One row with the table of CRC-32, by its rule, and the CRC-32 of what the column ``hx`` spells in hexadecimal.
+CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, c)) AS tab)"
+CRC = "xor(list_reduce(list_transform(range(1, len(hx), 2), lambda i: CAST('0x' || substr(hx, i, 2) AS BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLE_SQL: dict[str, str] = {
     "op1_chat": """
 WITH said AS (
@@ -179,4 +199,60 @@ ranked AS (
 SELECT s.page_id, s.url, s.day, s.copies, coalesce(r.n, 0) AS n_active, r.list AS matched_list, r.key AS matched_key,
        coalesce(r.list <> 'allow', false) AS blocked
 FROM seen s LEFT JOIN ranked r ON r.r = 1 AND s.page_id = r.page_id AND s.url = r.url AND s.day = r.day""",
+    "op11_resampling": f"""
+WITH {CRC_TABLE},
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+words AS (SELECT side, r, doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM texts),
+runs AS (SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS f FROM words),
+counted AS (SELECT side, r, f, count(*) AS c FROM runs GROUP BY ALL),
+hashed AS (SELECT f, {CRC} % 10000 AS bucket FROM (SELECT DISTINCT f, hex(encode(f)) AS hx FROM counted), crc),
+shares AS (
+  SELECT bucket, CAST(coalesce(sum(c) FILTER (side = 'd'), 0) AS DOUBLE) AS of_docs, CAST(coalesce(sum(c) FILTER (side = 'b'), 0) AS DOUBLE) AS of_target
+  FROM counted JOIN hashed USING (f) GROUP BY bucket),
+totals AS (SELECT sum(of_docs) + 10000 AS all_docs, sum(of_target) + 10000 AS all_target FROM shares),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((of_target + 1) * all_docs / ((of_docs + 1) * all_target))) AS BIGINT) AS gain FROM shares, totals),
+weighed AS (
+  SELECT r, sum(c) AS n_features, floor(CAST(sum(c * gain) AS DOUBLE) / sum(c)) AS weight
+  FROM counted JOIN hashed USING (f) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) >= 20 AS fit, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM words LEFT JOIN weighed ON words.r = weighed.r WHERE side = 'd'),
+placed AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY fit) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 25 * n // 100 THEN place END AS rank FROM placed""",
+    "op12_spelling": f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, {LOWERED.format("run")} AS run, count(*) AS c FROM runs GROUP BY ALL),
+hashed AS (SELECT run, c, {CRC} AS h FROM (SELECT run, c, hex(encode(doc_id || ':' || run)) AS hx FROM counted), crc),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY word HAVING length(word) >= 5 AND sum(c) >= 3),
+left_over AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS s
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM left_over a JOIN left_over b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+  UNION SELECT w.word, l.word, l.n FROM words w JOIN left_over l ON w.word = l.s
+  UNION SELECT l.word, w.word, w.n FROM words w JOIN left_over l ON w.word = l.s),
+near AS (SELECT word, count(*) AS n_near FROM pairs GROUP BY word),
+best AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) = 1),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN near ON words.word = near.word LEFT JOIN best ON words.word = best.word),
+chain AS (
+  SELECT word, form AS reached FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.reached = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, reached FROM chain c JOIN forms f ON reached = f.word WHERE f.form IS NULL)
+SELECT forms.word, form, coalesce(reached, forms.word) AS root, n, n_near, form_n FROM forms LEFT JOIN roots ON forms.word = roots.word""",
+    "op13_lines": f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT r, unnest(range(len(l))) AS pos, unnest(l) AS line FROM texts),
+keyed AS (SELECT *, {LOWERED.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM lines),
+frequent AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS text FROM keyed WHERE key NOT IN (SELECT key FROM frequent) GROUP BY r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)""",
 }
