@@ -88,8 +88,9 @@ class Items:
         """
         h, n_words = shingle_hashes(text, self.shingle)
         best: dict[int, tuple[float, int]] = {}
-        if uneven and n_words >= self.shingle:
+        if uneven and n_words:
             self._short_items(text, best)
+        if uneven and n_words >= self.shingle:
             self._whole_text(h, n_words, similarity, best)
         self._even(h, n_words, similarity, best)
         return [(self.ids[k], s, -a, int(min(self.words[k], n_words))) for k, (s, a) in sorted(best.items())]
@@ -173,9 +174,12 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, simi
 
     Words are lower-cased runs of ASCII letters, digits and other scripts, so case, punctuation and line ends
     don't matter. Documents are read once and not shuffled. The benchmark is broadcast by some ``max_items`` items
-    and ``max_bytes`` of text at a time; a larger one is compared part by part, by hash of the item. Null and empty texts, on either side, match nothing; so does an item longer than the document, and one
-    with fewer words than a shingle unless it is the whole document. With ``uneven`` these two do: a document shorter
-    than the item is one window as it is, and a shorter item is met by runs of its own number of words. Repeated documents each get their rows, an empty table has none, and further
+    and ``max_bytes`` of text at a time; a larger one is compared part by part, by hash of the item. Null and empty
+    texts, on either side, match nothing; so does an item longer than the document, and one with fewer words than a
+    shingle unless it is the whole document. With ``uneven`` these two do: a document shorter than the item, but of
+    a shingle at least, is one window as it is, and an item below a shingle is met by runs of its own number of
+    words, in documents of any length. A document below a shingle is no window of a longer item: its one short
+    shingle is none of that item's. Repeated documents each get their rows, an empty table has none, and further
     columns are left out (``uncontaminated`` keeps them, whatever their names); items with a null id are left out, and of an id with several texts each text counts.
     """
     kind = benchmark.schema[item_col].dataType

@@ -58,13 +58,15 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables have neither fetch times nor lists: both come from the pages by a rule, as in the SQL."""
     pages = table(spark, sf_dir, "pages")
     captures = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int")).alias("day"))
-    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct()
-    hosts = hosts.withColumn("x", F.conv(F.substring(F.md5("host"), 1, 4), 16, 10).cast("int")).withColumn("parent", F.expr("substr(host, instr(host, '.') + 1)"))
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path")).filter("host <> ''").distinct()
+    number = lambda text: F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("int")
+    hosts = hosts.withColumns({"x": number("host"), "y": number(F.concat("host", "path")), "parent": F.expr("substr(host, instr(host, '.') + 1)")})
     rule = "inline(array({}))".format(", ".join(f"struct('{name}' AS list, {key} AS key, '{action}' AS action, date_add(date'2024-01-01', {day}) AS day, {where} AS used)" for name, key, action, day, where in DATED))
     return urls.verdicts(captures, hosts.selectExpr(rule).filter("used").drop("used"))
 
 
-#: Dated list entries by rule: list, key, action, day of the year 2024 and condition, of a host's parent and hash x.
+#: Dated list entries by rule: list, key, action, day of the year 2024 and condition, of a host, its parent and hash x,
+#: and a path on it and their hash y.
 DATED = [
     ("spam", "host", "add", "x % 300", "x % 3 = 0"),
     ("spam", "host", "remove", "x % 300 + 20 + x % 50", "x % 3 = 0"),
@@ -74,6 +76,9 @@ DATED = [
     ("allow", "parent", "add", "x % 365", "x % 5 = 2"),
     ("adult", "parent", "add", "x % 120", "x % 7 = 3"),
     ("adult", "parent", "remove", "x % 120 + 60", "x % 7 = 3"),
+    ("phishing", "host || path", "add", "y % 200", "y % 3 = 0"),
+    ("phishing", "host || path", "remove", "y % 200 + 100", "y % 6 = 0"),
+    ("gambling", "parent || '/fr'", "add", "x % 150", "x % 9 = 4"),
 ]
 
 
@@ -162,14 +167,20 @@ placed AS (SELECT side, id, n, len(s) AS span, unnest(s) AS shingle, unnest(rang
 items AS (SELECT id AS item_id, n AS words, span, shingle, count(*) AS c FROM placed WHERE side = 'i' GROUP BY ALL),
 docs AS (SELECT id AS doc_id, n, shingle, p FROM placed WHERE side = 'd'),
 starts AS (
-  SELECT DISTINCT doc_id, item_id, words, span, unnest(range(greatest(p - span + 1, 0), least(p, n - words) + 1)) AS a
-  FROM docs JOIN items USING (shingle) WHERE words <= n),
+  SELECT DISTINCT doc_id, item_id, words, span, span AS own, unnest(range(greatest(p - span + 1, 0), least(p, n - words) + 1)) AS a
+  FROM docs JOIN items USING (shingle) WHERE words <= n
+  UNION ALL SELECT DISTINCT doc_id, item_id, n, span, n - 4, 0 FROM docs JOIN items USING (shingle) WHERE words > n AND n >= 5),
 windows AS (
-  SELECT t.doc_id, item_id, words, span, a, d.shingle, count(*) AS c
-  FROM starts t JOIN docs d ON t.doc_id = d.doc_id AND d.p BETWEEN a AND a + span - 1 GROUP BY ALL),
+  SELECT t.doc_id, item_id, words, span, own, a, d.shingle, count(*) AS c
+  FROM starts t JOIN docs d ON t.doc_id = d.doc_id AND d.p BETWEEN a AND a + own - 1 GROUP BY ALL),
+short AS (SELECT DISTINCT words AS n_words FROM items WHERE words < 5),
+runs AS (
+  SELECT id AS doc_id, n_words, unnest(range(n - n_words + 1)) AS a, unnest(list_transform(range(n - n_words + 1), lambda k: array_to_string(w[k + 1 : k + n_words], ' '))) AS shingle
+  FROM (SELECT id, len(w) AS n, w FROM words WHERE side = 'd'), short WHERE n > n_words),
 alike AS (
-  SELECT doc_id, w.item_id, w.words, a, CAST(sum(least(w.c, i.c)) AS DOUBLE) / (2 * any_value(w.span) - sum(least(w.c, i.c))) AS similarity
-  FROM windows w JOIN items i ON w.item_id = i.item_id AND w.shingle = i.shingle GROUP BY ALL)
+  SELECT doc_id, w.item_id, w.words, a, CAST(sum(least(w.c, i.c)) AS DOUBLE) / (any_value(w.span) + any_value(w.own) - sum(least(w.c, i.c))) AS similarity
+  FROM windows w JOIN items i ON w.item_id = i.item_id AND w.shingle = i.shingle GROUP BY ALL
+  UNION ALL SELECT doc_id, item_id, words, a, CAST(1 AS DOUBLE) FROM runs JOIN items ON words = n_words AND items.shingle = runs.shingle)
 SELECT doc_id, item_id, similarity, a AS first_word, CAST(words AS BIGINT) AS words
 FROM alike WHERE similarity >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, a) = 1""",
     "op10_urls": """
@@ -179,16 +190,16 @@ WITH seen AS (
          regexp_extract(url, '^(?i:[a-z][a-z0-9+.-]*:)?//[^/?#\\\\]*([^?#]*)', 1) AS path
   FROM pages GROUP BY page_id, url),
 hosts AS (
-  SELECT DISTINCT host, CAST('0x' || substr(md5(host), 1, 4) AS INTEGER) AS x, substr(host, instr(host, '.') + 1) AS parent
+  SELECT DISTINCT host, path, CAST('0x' || substr(md5(host), 1, 4) AS INTEGER) AS x, CAST('0x' || substr(md5(host || path), 1, 4) AS INTEGER) AS y, substr(host, instr(host, '.') + 1) AS parent
   FROM seen WHERE host <> ''),
 entries AS (
   """ + " UNION ALL ".join(f"SELECT '{name}' AS list, {key} AS key, '{action}' AS action, DATE '2024-01-01' + CAST({day} AS INTEGER) AS day FROM hosts WHERE {where}" for name, key, action, day, where in DATED) + """),
-days AS (SELECT list, key, day, bool_or(action = 'add') AS valid FROM entries GROUP BY ALL),
-named AS (
-  SELECT page_id, url, day, unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda k: array_to_string(string_split(host, '.')[k:], '.'))) AS key
-  FROM seen WHERE host <> ''
-  UNION ALL
-  SELECT page_id, url, day, host || regexp_extract(path, '^/[^/]+') FROM seen WHERE host <> '' AND regexp_extract(path, '^/[^/]+') <> ''),
+days AS (SELECT list, regexp_replace(key, '/+$', '') AS key, day, bool_or(action = 'add') AS valid FROM entries GROUP BY ALL),
+domains AS (
+  SELECT page_id, url, day, string_split(path, '/') AS parts,
+         unnest(list_transform(range(1, len(string_split(host, '.')) + 1), lambda k: array_to_string(string_split(host, '.')[k:], '.'))) AS domain
+  FROM seen WHERE host <> ''),
+named AS (SELECT page_id, url, day, domain || unnest(list_transform(range(1, len(parts) + 1), lambda k: array_to_string(parts[1:k], '/'))) AS key FROM domains),
 latest AS (
   SELECT n.page_id, n.url, n.day, d.list, n.key, arg_max(d.valid, d.day) AS valid
   FROM named n JOIN days d ON n.key = d.key AND d.day <= n.day GROUP BY ALL),

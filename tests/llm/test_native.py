@@ -2,6 +2,8 @@ import datetime as dt
 import random
 import re
 
+import pytest
+
 from oracle import assert_matches
 from quernstone.llm import chat, urls
 
@@ -67,9 +69,10 @@ def day(n):
 
 def test_url_parts(spark):
     cases = {
-        "https://User:pw@WWW.Example.com:8080/a/b?q#f": ("www.example.com", ["www.example.com", "example.com", "com", "www.example.com/a"]),
+        "https://User:pw@WWW.Example.com:8080/a/b?q#f": ("www.example.com", [d + p for d in ("www.example.com", "example.com", "com") for p in ("", "/a", "/a/b")]),
         "//h.org": ("h.org", ["h.org", "org"]),
         "http://h.org./?x=/y": ("h.org", ["h.org", "org"]),
+        "http://h.org/a//b/": ("h.org", [d + p for d in ("h.org", "org") for p in ("", "/a", "/a//b")]),
         "no url": ("", None),
         "": ("", None),
     }
@@ -78,25 +81,28 @@ def test_url_parts(spark):
     assert got == cases
 
 
-def test_verdicts_by_brute_force(spark):
+@pytest.mark.parametrize("max_bytes", [0, 1 << 25])
+def test_verdicts_by_brute_force(spark, max_bytes):
     rng = random.Random(3)
     hosts = ["a.b.com", "b.com", "c.org", "x.c.org"]
-    entries = [(rng.choice(["allow", "spam", "bad"]), rng.choice([*hosts, "com", "c.org/en"]), rng.choice(["add", "remove", "add", "other", None]), day(rng.randint(0, 400))) for _ in range(60)]
+    entries = [(rng.choice(["allow", "spam", "bad"]), rng.choice([*hosts, "com", "c.org/en", "c.org/de/x/", "org/de", "x.c.org/de/x/y.html", "b.com/e", "com/"]), rng.choice(["add", "remove", "add", "other", None]), day(rng.randint(0, 400))) for _ in range(90)]
     entries += [(None, "b.com", "add", day(0)), ("spam", None, "add", day(0)), ("spam", "b.com", "add", None), entries[0]]
-    captures = [(k, rng.choice([f"http://{rng.choice(hosts)}/{rng.choice(['en', 'de/x', ''])}", None, "bad"]), rng.choice([None, day(rng.randint(-5, 405))]), 1) for k in range(200)]
+    captures = [(k, rng.choice([f"http://{rng.choice(hosts)}/{rng.choice(['en', 'de/x', '', 'de/x/y.html', 'de/x/', 'de/xy'])}", None, "bad"]), rng.choice([None, day(rng.randint(-5, 405))]), 1, "k", 3, "c") for k in range(200)]
     captures += captures[:5]
-    c = spark.createDataFrame(captures, "page_id long, url string, day date, blocked int")
-    e = spark.createDataFrame(entries, "list string, key string, action string, day date")
-    got = {r.page_id: (r.copies, r.n_active, r.matched_list, r.matched_key, r.blocked) for r in urls.verdicts(c, e).collect()}
+    c = spark.createDataFrame(captures, "page_id long, url string, day date, blocked int, key string, bucket int, copies string")
+    e = spark.createDataFrame([(*x, "u") for x in entries], "list string, key string, action string, day date, url string")
+    got = {r.page_id: (r.copies, r.n_active, r.matched_list, r.matched_key, r.blocked) for r in urls.verdicts(c, e, max_bytes=max_bytes).collect()}
     assert len(got) == 200
-    for k, url, when, _ in captures:
+    for k, url, when, *_ in captures:
         found = []
         if url and "//" in url and when:
             host, _, path = url.removeprefix("http://").partition("/")
-            keys = [host[i:] for i in range(len(host)) if i == 0 or host[i - 1] == "."] + ([host + "/" + path.split("/")[0]] if path else [])
+            keys = [host[i:] for i in range(len(host)) if i == 0 or host[i - 1] == "."]
+            folders = path.strip("/").split("/") if path else []
+            keys = [x + "".join(f"/{f}" for f in folders[:n]) for x in keys for n in range(len(folders) + 1)]
             for name in ("allow", "spam", "bad"):
                 for key in keys:
-                    events = sorted((d, a == "add") for n, q, a, d in entries if n == name and q == key and a in ("add", "remove") and d and d <= when)
+                    events = sorted((d, a == "add") for n, q, a, d in entries if n == name and q and q.rstrip("/") == key and a in ("add", "remove") and d and d <= when)
                     if events and events[-1][1]:
                         found.append((len(key), name == "allow", name, key))
         top = max(found, default=(0, True, None, None))
