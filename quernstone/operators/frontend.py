@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.alignment import recover_marks
+from quernstone.functions.models import sounds_of
 from quernstone.functions.text import KAF, QAF, clean_phonemes, dialect_rewrite, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
 
 
@@ -41,9 +44,30 @@ def phonemized(rows: DataFrame, lexicon: Column, text: str = "text", sounds: str
     return rows.withColumns(counted).drop("_words", "_sounds")
 
 
+def phonemize(rows: DataFrame, make_model: Callable[[], Callable[[list[str]], list[str]]], lexicon: Column, text: str = "text", dialect: bool = True, strip: bool = False, batch: int = 64) -> DataFrame:
+    """``rows`` with the front-end's whole result: ``prepared``, ``spoken``, the counters of ``phonemized`` and ``error``.
+
+    Texts are prepared, spoken by the model (see ``models.sounds_of``: made once a worker, asked in batches of
+    texts of like length, word by word where it merges or splits words), cleaned and made dialect. A text that the
+    model fails on has empty ``spoken``, its message in ``error``, and counts as no words; it fails no task. Null
+    texts are empty. Without ``dialect`` there are no counters but ``error``.
+    """
+    said = rows.withColumn("prepared", prepared(F.coalesce(text, F.lit("")), strip))
+    said = said.withColumn("_said", sounds_of(F.col("prepared"), make_model, batch))
+    said = said.withColumns({c: F.col(f"_said.{part}") for c, part in (("_sounds_of_text", "sounds"), ("_sounds_of_words", "word_sounds"), ("error", "error"))})
+    out = phonemized(said, lexicon, "prepared", "_sounds_of_text", "_sounds_of_words", dialect)
+    failed = F.col("error").isNotNull()
+    blank = {"spoken": F.lit(""), "misaligned": F.lit(False), "n_words": F.lit(0).cast("long"), "n_q_words": F.lit(0).cast("long"), "n_q_kept": F.lit(0).cast("long")}
+    out = out.withColumns({c: F.when(failed, x).otherwise(F.col(c)) for c, x in blank.items() if c in out.columns})
+    return out.drop("_said", "_sounds_of_text", "_sounds_of_words")
+
+
 def counters(rows: DataFrame, source: str = "text") -> DataFrame:
-    """Sums of the counters of ``phonemized``; ``source`` is the text before it was prepared."""
+    """Sums of the counters of ``phonemized`` or ``phonemize``; ``source`` is the text before it was prepared."""
+    failed = F.col("error").isNotNull() if "error" in rows.columns else F.lit(False)
     return rows.agg(
+        F.count("*").alias("sentences"),
+        F.count_if(failed).alias("errors"),
         F.sum("n_words").alias("words"),
         F.sum("n_q_words").alias("q_words"),
         F.sum("n_q_kept").alias("q_kept"),
@@ -88,7 +112,11 @@ def coverage_report(rows: DataFrame, text: str = "text", raw: str = "text_tashke
     return per.agg(F.count("*").alias("n"), F.avg("old_cov").alias("old_coverage"), F.avg("new_cov").alias("new_coverage"), F.sum("q").alias("q_words"), (F.sum("old_q") / total).alias("old_q_marked"), (F.sum("new_q") / total).alias("new_q_marked"))
 
 
-def gate(oov: DataFrame, misaligned: int, n: int) -> DataFrame:
-    """FAIL if there is any symbol out of vocabulary, WARN if over 5 % of the rows are misaligned, else PASS."""
-    found = oov.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("oov"))
-    return found.withColumn("verdict", F.when(F.col("oov") > 0, "FAIL").when(F.lit(misaligned > 0.05 * n), "WARN").otherwise("PASS"))
+def gate(oov: DataFrame, counted: DataFrame) -> DataFrame:
+    """``oov``, ``misaligned``, ``sentences`` and ``verdict``, from the rows of ``oov_count`` and of ``counters``.
+
+    FAIL if there is any symbol out of vocabulary, WARN if over 5 % of the sentences are misaligned, else PASS.
+    """
+    found = oov.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("oov")).join(F.broadcast(counted.select(F.col("misaligned_sentences").alias("misaligned"), "sentences")))
+    verdict = F.when(F.col("oov") > 0, "FAIL").when(F.col("misaligned") > 0.05 * F.col("sentences"), "WARN").otherwise("PASS")
+    return found.withColumn("verdict", verdict)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.functions import alignment, audio, text, vectors
+from quernstone.functions import alignment, audio, models, text, vectors
 from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, PHONEME_NOISE, QAF, SHADDA, SHORT_MARKS, TATWEEL, WER_PUNCTUATION
 from quernstone.operators import cohort, frontend, pairs, pools, quality, scoring, verdicts
 from quernstone.plans import views
@@ -423,16 +425,92 @@ def dialect_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     SPEECH
-    + f"""SELECT CAST(sum(CASE WHEN silent THEN 0 ELSE n END) AS BIGINT) AS words, CAST(sum(q) AS BIGINT) AS q_words, CAST(sum(kept) AS BIGINT) AS q_kept, CAST(sum(q - kept) AS BIGINT) AS q_rewritten,
+    + f"""SELECT count(*) AS sentences, CAST(0 AS BIGINT) AS errors, CAST(sum(CASE WHEN silent THEN 0 ELSE n END) AS BIGINT) AS words, CAST(sum(q) AS BIGINT) AS q_words, CAST(sum(kept) AS BIGINT) AS q_kept, CAST(sum(q - kept) AS BIGINT) AS q_rewritten,
   count(*) FILTER (NOT silent AND uneven) AS misaligned_sentences, CAST(sum(len(regexp_extract_all({UNCITED.replace("text", "said.text")}, '[A-Za-z]+'))) AS BIGINT) AS latin_dropped FROM spoken JOIN said USING (idx)"""
 )
 def frontend_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontend.counters(_phonemized(spark, sf_dir))
 
 
-@query(f"{TEXTS}, ch AS (SELECT unnest(string_split(text, '')) AS symbol FROM texts) SELECT CAST(count(*) AS BIGINT) AS oov, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM ch WHERE symbol <> '' AND symbol NOT IN (SELECT chr(CAST(c AS INTEGER)) FROM range(97, 123) t(c))")
+GATES = {"letters": ("true", "symbol NOT IN (SELECT chr(CAST(c AS INTEGER)) FROM range(97, 123) t(c))"), "all": ("true", "false"), "aligned": ("silent OR NOT uneven", "false")}
+
+
+@query(
+    SPEECH
+    + ", said_rows AS (SELECT silent, uneven, CASE WHEN silent THEN '' WHEN NOT uneven THEN said END AS spoken FROM spoken), gated AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS gate, (SELECT count(*) FROM (SELECT unnest(string_split(spoken, '')) AS symbol FROM said_rows WHERE {rows}) WHERE symbol <> '' AND {missing}) AS oov, "
+        f"(SELECT count(*) FROM said_rows WHERE ({rows}) AND NOT silent AND uneven) AS misaligned, (SELECT count(*) FROM said_rows WHERE {rows}) AS sentences"
+        for name, (rows, missing) in GATES.items()
+    )
+    + ") SELECT *, CASE WHEN oov > 0 THEN 'FAIL' WHEN misaligned > 0.05 * sentences THEN 'WARN' ELSE 'PASS' END AS verdict FROM gated"
+)
 def frontend_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frontend.gate(oov_count(spark, sf_dir), 0, 1)
+    """The gate with a vocabulary of letters, with one of all that is spoken, and with the latter over aligned rows."""
+    rows = _phonemized(spark, sf_dir)
+    letters = spark.range(97, 123).select(F.char("id").alias("symbol"))
+    spoken = rows.select(F.explode(text.characters(F.col("spoken"))).alias("symbol")).distinct()
+    aligned = rows.filter(~F.col("misaligned"))
+    gates = [frontend.gate(frontend.oov_count(x, "spoken", v), frontend.counters(x)).withColumn("gate", F.lit(name)) for name, x, v in (("letters", rows, letters), ("all", rows, spoken), ("aligned", aligned, spoken))]
+    return pools.union_by_name(*gates)
+
+
+#: A letter of Arabic script for each from a to z, and the phonemizer that says it so: a stand-in for an external one.
+SCRIPT = "ابجدهوزحطيكلمنسعقفصرشتثخذض"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+class Speller:
+    """Says each letter, merges a word of one alef with the next word, and can't say the at sign."""
+
+    def __init__(self):
+        self.sounds = str.maketrans(SCRIPT, LETTERS)
+        self.merged = re.compile(f"(^| ){SCRIPT[0]} ")
+
+    def __call__(self, texts: list[str]) -> list[str]:
+        if any("@" in t for t in texts):
+            raise ValueError("no sound for @")
+        return [self.merged.sub(rf"\1{SCRIPT[0]}", t).translate(self.sounds) for t in texts]
+
+
+PREPARED = _squeeze(f"regexp_replace({UNCITED}, '[A-Za-z]+', ' ', 'g')")
+FRONTEND = (
+    f"""WITH given AS (SELECT doc_id AS idx, translate(text, '{LETTERS}', '{SCRIPT}') AS text FROM documents),
+ready AS (SELECT idx, {PREPARED} AS prepared FROM given),
+lists AS (SELECT *, string_split(prepared, ' ') AS w, string_split(translate({UNDOTTED.replace(DOTTED, f"translate(prepared, '{SCRIPT}', '{LETTERS}')")}, '{PHONEME_NOISE}', ''), ' ') AS p, contains(prepared, '@') AS failed FROM ready),
+keeping AS (SELECT *, list_transform(range(1, len(w) + 1), lambda i: contains(w[i], '{QAF}') AND (list_contains({LEXICON}, {BARE.replace("@", "w[i]")}) OR (i > 1 AND list_contains({list(text.SURA_TRIGGERS)}, {BARE.replace("@", "w[i - 1]")})))) AS k FROM lists),
+said AS (SELECT idx, prepared, failed, prepared = '' AS silent, len(w) AS n, len(list_filter(w, lambda x: contains(x, '{QAF}'))) AS q, len(list_filter(k, lambda x: x)) AS kept,
+  array_to_string(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN k[i] THEN p[i] ELSE replace(p[i], 'q', '{text.DIALECT_G}') END), ' ') AS spoken FROM keeping)
+"""
+    f"SELECT idx, prepared, CASE WHEN failed THEN '' ELSE spoken END AS spoken, CASE WHEN failed THEN 'ValueError: no sound for @' END AS error, NOT failed AND regexp_matches(prepared, '(^| ){SCRIPT[0]} ') AS misaligned, "
+    "CASE WHEN failed OR silent THEN 0 ELSE n END AS n_words, CASE WHEN failed THEN 0 ELSE q END AS n_q_words, CASE WHEN failed THEN 0 ELSE kept END AS n_q_kept FROM said"
+)
+
+
+@query(FRONTEND)
+def phonemize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole front-end over all documents, their small letters in Arabic script, with a stand-in for the model."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("idx"), F.translate("text", LETTERS, SCRIPT).alias("text"))
+    rows = frontend.phonemize(docs, Speller, F.array(*map(F.lit, LEXICON)))
+    return rows.select("idx", "prepared", "spoken", "error", "misaligned", "n_words", "n_q_words", "n_q_kept")
+
+
+class Striper:
+    """Means of every fourth sample from the first to the fourth on, over each wave's own length; needs eight samples."""
+
+    def __call__(self, padded: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        lengths = np.rint(shares * padded.shape[1])
+        if (lengths < 8).any():
+            raise ValueError("too short")
+        return np.stack([padded[:, k::4].sum(axis=1, dtype=np.float64) / lengths for k in range(4)], axis=1)
+
+
+@query()
+def encode_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of waves of unlike lengths: each embedding's first components, with a stand-in for the encoder."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.select("vec_id", F.slice("embedding", 1, (F.col("vec_id") % 60).cast("int")).alias("wave"))
+    return rows.select("vec_id", models.encoded(F.col("wave"), Striper).alias("e")).select("vec_id", "e.vector", "e.error")
 
 
 @query(f"SELECT doc_id, len(list_filter(w, lambda x, i: i > 1 AND x = w[i - 1])) AS repeats FROM (SELECT doc_id, list_filter(string_split({_squeeze('text')}, ' '), lambda x: x <> '') AS w FROM documents)")
