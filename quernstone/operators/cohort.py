@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.vectors import centroids, dot, norm
+from quernstone.operators.ranks import BOUND, Percentiles, percentiles_by
 from quernstone.operators.scans import places, running_before
 from quernstone.sources.corpus import measured
 
@@ -15,10 +16,10 @@ SELECTION = ["audio_file", "speaker", "speaker_id", "video_id", "duration", "tex
 BUCKETS = [(0, 130), (130, 145), (145, 155), (155, 170), (170, 190), (190, 400)]
 
 
-def speaker_f0(features: DataFrame) -> DataFrame:
+def speaker_f0(features: DataFrame, bound: int = BOUND) -> DataFrame:
     """``f0_speaker``, the median of a speaker's measured clips, and their number ``n_f0``."""
-    x = measured("f0_median")
-    return features.groupBy("speaker").agg(F.median(x).alias("f0_speaker"), F.count(x).alias("n_f0"))
+    found = percentiles_by(features, ["speaker"], {"q": Percentiles(F.col("f0_median"))}, {"n_f0": F.count(measured("f0_median"))}, bound)
+    return found.select("speaker", F.get("q", F.lit(0)).alias("f0_speaker"), "n_f0")
 
 
 def with_speaker_f0(rows: DataFrame, features: DataFrame) -> DataFrame:
@@ -40,14 +41,11 @@ def corpus_totals(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n_rows"), (F.sum("duration") / 3600).alias("hours"), F.countDistinct("speaker").alias("speakers"), F.countDistinct("video_id").alias("videos"))
 
 
-def speaker_profile(rows: DataFrame) -> DataFrame:
+def speaker_profile(rows: DataFrame, bound: int = BOUND) -> DataFrame:
     """``hours``, median ``squim`` and ``snr``, and ``f0`` of each speaker's rows."""
-    return rows.groupBy("speaker").agg(
-        (F.sum("duration") / 3600).alias("hours"),
-        F.median(measured("squim_mos")).alias("squim"),
-        F.median(measured("snr_db")).alias("snr"),
-        F.first("f0_speaker", ignorenulls=True).alias("f0"),
-    )
+    wanted = {"squim": Percentiles(F.col("squim_mos")), "snr": Percentiles(F.col("snr_db"))}
+    found = percentiles_by(rows, ["speaker"], wanted, {"hours": F.sum("duration") / 3600, "f0": F.first("f0_speaker", ignorenulls=True)}, bound)
+    return found.select("speaker", "hours", *(F.get(c, F.lit(0)).alias(c) for c in wanted), "f0")
 
 
 def argmax_seed(profiles: DataFrame) -> DataFrame:
@@ -110,10 +108,10 @@ def keep_selected(rows: DataFrame, chosen: DataFrame, key: str = "audio_file") -
     return rows.drop("speaker").join(chosen.select(key, "speaker"), key)
 
 
-def video_f0(rows: DataFrame, group: str = "video_id", floor: float = 155.0) -> DataFrame:
+def video_f0(rows: DataFrame, group: str = "video_id", floor: float = 155.0, bound: int = BOUND) -> DataFrame:
     """Count, quartiles and pitch band of each video's measured clips."""
-    x = measured("f0_median")
-    quartiles = rows.groupBy(group).agg(F.count(x).alias("n"), F.percentile(x, [0.25, 0.5, 0.75]).alias("q")).filter("n > 0")
+    wanted = {"q": Percentiles(F.col("f0_median"), (0.25, 0.5, 0.75))}
+    quartiles = percentiles_by(rows, [group], wanted, {"n": F.count(measured("f0_median"))}, bound).filter("n > 0")
     return quartiles.select(group, "n", F.col("q")[1].alias("median_f0"), F.col("q")[0].alias("p25"), F.col("q")[2].alias("p75"), F.when(F.col("q")[1] < floor, "low").otherwise("high").alias("band"))
 
 
@@ -122,13 +120,14 @@ def f0_spread(videos: DataFrame) -> DataFrame:
     return videos.agg(F.count("*").alias("videos"), F.count_if(F.col("band") == "low").alias("low"), F.count_if(F.col("band") == "high").alias("high"), F.min("median_f0").alias("min_f0"), F.max("median_f0").alias("max_f0"))
 
 
-def lower_median(rows: DataFrame, group: str, value: str) -> DataFrame:
+def lower_median(rows: DataFrame, group: str, value: str, bound: int = BOUND) -> DataFrame:
     """The lower middle value of each group's measured rows."""
-    return rows.groupBy(group).agg(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY nullif({value}, double('NaN')))").alias("lower_median"))
+    found = percentiles_by(rows, [group], {"q": Percentiles(F.col(value), discrete=True)}, bound=bound)
+    return found.select(group, F.get("q", F.lit(0)).alias("lower_median"))
 
 
-def row_norm_ratio(rows: DataFrame, key: str, vector: str, floor: float = 0.5) -> DataFrame:
+def row_norm_ratio(rows: DataFrame, key: str, vector: str, floor: float = 0.5, bound: int = BOUND) -> DataFrame:
     """Each vector's norm over the lower median norm, and whether it is above ``floor``."""
     sized = rows.select(key, norm(F.col(vector)).alias("norm"))
-    middle = sized.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY norm)").alias("median_norm"))
+    middle = percentiles_by(sized, [], {"q": Percentiles(F.col("norm"), discrete=True)}, bound=bound).select(F.get("q", F.lit(0)).alias("median_norm"))
     return sized.join(F.broadcast(middle)).select(key, "norm", (F.col("norm") / F.col("median_norm")).alias("ratio"), (F.col("norm") / F.col("median_norm") > floor).alias("trained"))
