@@ -40,8 +40,8 @@ def buckets_of(chunk: bytes, owned: int, n: int, buckets: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _chunked(docs: DataFrame, n: int, words: int, long_bytes: int, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``copy`` (the text's digest for long texts, else null), ``part``, ``owned`` and ``chunk``.
+def _chunked(docs: DataFrame, n: int, words: int, long_bytes: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Short and long texts as ``id``, ``copy`` (a long text's digest, else null), ``part``, ``owned`` and ``chunk``.
 
     A text of ``long_bytes`` at most is one chunk and stays where it is read. Longer ones are cut, and their chunks
     are dealt to all tasks by the text's digest and their place.
@@ -52,7 +52,7 @@ def _chunked(docs: DataFrame, n: int, words: int, long_bytes: int, id_col: str,
     def cut(size: int | None):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = 1 if size else 256
+                rows = 1 if size else 64
                 for k in range(0, batch.num_rows, rows):
                     some = batch.slice(k, rows)
                     found = [(r, p, *c) for r, t in enumerate(some.column(1)) for p, c in enumerate(chunks(t.as_py(), size or 1 << 62, n))]
@@ -64,7 +64,7 @@ def _chunked(docs: DataFrame, n: int, words: int, long_bytes: int, id_col: str,
 
     long = F.coalesce(F.octet_length("text") > long_bytes, F.lit(False))
     short = given.filter(~long).withColumn("copy", F.lit(None).cast("string")).mapInArrow(cut(None), schema)
-    return short.unionByName(given.filter(long).withColumn("copy", F.md5("text")).mapInArrow(cut(words), schema).repartition("copy", "part"))
+    return short, given.filter(long).withColumn("copy", F.md5("text")).mapInArrow(cut(words), schema).repartition("copy", "part")
 
 
 def bucket_counts(docs: DataFrame, n: int = 2, buckets: int = 10_000, words: int = 1 << 15, long_bytes: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -81,7 +81,8 @@ def bucket_counts(docs: DataFrame, n: int = 2, buckets: int = 10_000, words: int
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
-    counted = _chunked(docs, n, words, long_bytes, id_col, text_col).select("owned", "chunk").mapInArrow(run, "bucket long, n long")
+    short, long = _chunked(docs, n, words, long_bytes, id_col, text_col)
+    counted = short.unionByName(long).select("owned", "chunk").mapInArrow(run, "bucket long, n long")
     return counted.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
@@ -122,14 +123,14 @@ def weights(docs: DataFrame, target: DataFrame, n: int = 2, buckets: int = 10_00
             sums = pa.array([int(sent.value[x].sum()) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], *sums], names=["id", "copy", "part", "owned", "gain", "n_features"])
 
-    chunked = _chunked(docs, n, words, long_bytes, id_col, text_col)
-    measured = chunked.mapInArrow(run, f"id {chunked.schema['id'].dataType.simpleString()}, copy string, part long, owned long, gain long, n_features long")
+    kind = docs.schema[id_col].dataType.simpleString()
+    short, long = (part.mapInArrow(run, f"id {kind}, copy string, part long, owned long, gain long, n_features long") for part in _chunked(docs, n, words, long_bytes, id_col, text_col))
     # Of equal rows each chunk comes as often as its first one.
-    copies = F.count_if(F.col("part") == 0)
-    long = measured.filter("copy is not null").groupBy("id", "copy").agg(copies.alias("copies"), *(F.expr(f"sum({c}) div count_if(part = 0)").alias(c) for c in ("owned", "gain", "n_features")))
+    sums = (F.expr(f"sum({c}) div count_if(part = 0)").alias(c) for c in ("owned", "gain", "n_features"))
+    long = long.groupBy("id", "copy").agg(F.count_if(F.col("part") == 0).alias("copies"), *sums)
     long = long.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     columns = ["id", "owned", "gain", "n_features"]
-    both = measured.filter("copy is null").select(*columns).unionByName(long.select(*columns))
+    both = short.select(*columns).unionByName(long.select(*columns))
     mean = F.expr("(gain - pmod(gain, n_features)) div n_features")
     return both.select(F.col("id").alias(id_col), F.col("owned").alias("n_words"), "n_features", F.when(F.col("n_features") > 0, mean).otherwise(0).cast("long").alias("weight"))
 
