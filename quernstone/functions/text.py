@@ -130,21 +130,3 @@ def dialect_rewrite(words: Column, phonemes: Column, lexicon: Column) -> Column:
 def stem(c: Column) -> Column:
     """A path's last part without its last suffix."""
     return F.regexp_extract(c, r"([^/]+?)(\.[^./]*)?$", 1)
-
-
-def edit_distance(a: Column, b: Column) -> Column:
-    """Unit-cost Levenshtein distance of two arrays; nulls are equal to nulls.
-
-    Each distinct element of the pair becomes a character, so that the built-in ``levenshtein`` does the work, in
-    time in the product of the sizes. Characters skip the surrogates (and the byte order mark behind them); the
-    pair may have a million distinct elements.
-    """
-
-    def spelt(x: Column, known: Column) -> Column:
-        place = lambda w: F.coalesce(F.array_position(known, w), F.lit(0))
-        code = lambda p: F.when(p < 0xD7FF, p + 1).otherwise(p + 1 + 0x2800)
-        digits = F.transform(x, lambda w: F.lpad(F.hex(code(place(w))), 8, "0"))
-        return F.decode(F.unhex(F.array_join(digits, "")), "UTF-32")
-
-    distinct = F.array(F.array_distinct(F.concat(a, b)))
-    return F.get(F.transform(distinct, lambda known: F.levenshtein(spelt(a, known), spelt(b, known))), F.lit(0)).cast("long")

@@ -7,21 +7,22 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.functions.text import QAF, characters, edit_distance, tokens, wer_norm
+from quernstone.functions.distance import text_distances
+from quernstone.functions.text import QAF, tokens, wer_norm
 
 
-def scored(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", characters_too: bool = True) -> DataFrame:
-    """Each pair with its edits and sizes in words and characters of normalised text.
+def scored(pairs: DataFrame, ref: str = "ref", hyp: str = "hyp", spread: int | None = None) -> DataFrame:
+    """Each pair with its edits and sizes in words and characters (code points) of normalised text.
 
-    Without a hypothesis a pair isn't scored; it is left out. Distances are unit-cost; characters are compared by
-    ``levenshtein``, which counts code points.
+    Without a hypothesis a pair isn't scored; it is left out, as is one without a reference. Distances are
+    unit-cost. Scoring costs much time for few bytes, so the pairs are dealt to ``spread`` tasks
+    (``spark.sql.shuffle.partitions``, if it isn't given) before it, wherever they come from.
     """
+    spread = spread or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = pairs.filter(F.col(hyp).isNotNull() & F.col(ref).isNotNull()).withColumns({"ref_norm": wer_norm(F.col(ref)), "hyp_norm": wer_norm(F.col(hyp))})
-    rows = rows.withColumns({"_r": tokens(F.col("ref_norm")), "_h": tokens(F.col("hyp_norm"))})
-    out = {"word_edits": edit_distance(F.col("_r"), F.col("_h")), "words": F.size("_r").cast("long"), "chars": F.size(characters(F.col("ref_norm"))).cast("long")}
-    if characters_too:
-        out["char_edits"] = F.levenshtein("ref_norm", "hyp_norm").cast("long")
-    return rows.withColumns(out).withColumn("wer", rate(F.col("word_edits"), F.col("words"))).drop("_r", "_h")
+    rows = rows.repartition(spread).withColumn("_edits", text_distances(F.col("ref_norm"), F.col("hyp_norm")))
+    out = {"word_edits": F.col("_edits.words"), "words": F.size(tokens(F.col("ref_norm"))).cast("long"), "chars": F.char_length("ref_norm").cast("long"), "char_edits": F.col("_edits.chars")}
+    return rows.withColumns(out).withColumn("wer", rate(F.col("word_edits"), F.col("words"))).drop("_edits")
 
 
 def rate(edits: Column, total: Column) -> Column:

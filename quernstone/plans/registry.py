@@ -658,7 +658,7 @@ NORMED = _squeeze(_fold("translate(" + _no_marks("{0}") + ", '" + WER_PUNCTUATIO
 WORDS = "list_filter(string_split({0}, ' '), lambda x: x <> '')"
 SCORED = (
     WITH.replace("WITH ", "WITH RECURSIVE ", 1)
-    + f""", normed AS (SELECT idx, category, {NORMED.replace("{0}", "ref")} AS r, {NORMED.replace("{0}", "hyp")} AS h FROM pairs),
+    + f""", normed AS (SELECT idx, category, {NORMED.replace("{0}", "ref")} AS r, {NORMED.replace("{0}", "hyp")} AS h FROM pairs WHERE ref IS NOT NULL AND hyp IS NOT NULL),
 listed AS (SELECT *, {WORDS.format("r")} AS a, {WORDS.format("h")} AS b FROM normed),
 dp AS (SELECT idx, 0 AS i, range(0, len(b) + 1) AS line FROM listed
   UNION ALL
