@@ -5,10 +5,12 @@ Both are sequential in a row and small; they run as Arrow-batched UDFs.
 
 from __future__ import annotations
 
-import difflib
 import re
+import sys
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Hashable, Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,40 +20,143 @@ from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, QAF, SHADDA, SHO
 
 _KEY = str.maketrans(FOLD_FROM + QAF, FOLD_TO + JEEM)
 _FINAL = re.compile(f"[{SHORT_MARKS}](?=[{SHORT_MARKS}{SHADDA}]*(?: |$(?!\n)))")
+#: Runs of non-spacing marks, by their category.
+_MARKS = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Mn") + "]+")
+#: Words whose letters and keys a worker remembers.
+REMEMBERED = 1 << 16
 
 
-def is_mark(ch: str) -> bool:
-    return unicodedata.category(ch) == "Mn"
+def letters(word: str) -> str:
+    return _MARKS.sub("", word)
 
 
-def letters(word: str) -> str:
-    return "".join(filter(lambda c: not is_mark(c), word))
+@lru_cache(REMEMBERED)
+def key_of(word: str) -> str:
+    """What words are aligned by: letters alone, folded, qaf as jeem."""
+    return letters(word).translate(_KEY)
 
 
+@lru_cache(REMEMBERED)
 def seat_marks(bare: str, marked: str) -> str | None:
     """The letters of ``bare`` under the marks of ``marked``; None if the numbers of letters differ.
 
     Marks before the first letter are left out.
     """
     seats = letters(bare)
-    if len(seats) != len(letters(marked)):
-        return None
-    queue = iter(seats)
-    placed, begun = [], False
-    for ch in marked:
-        if not is_mark(ch):
-            placed.append(next(queue))
-            begun = True
-        elif begun:
-            placed.append(ch)
-    return "".join(placed)
+    first = _MARKS.match(marked)
+    rest = marked[first.end() :] if first else marked
+    if not _MARKS.search(rest):
+        return seats if len(seats) == len(rest) else None
+    # Letters alone, and in between the runs of marks behind them.
+    placed, used, end = [], 0, 0
+    for run in _MARKS.finditer(rest):
+        n = run.start() - end
+        placed += (seats[used : used + n], run[0])
+        used, end = used + n, run.end()
+    n = len(rest) - end
+    placed.append(seats[used : used + n])
+    return "".join(placed) if used + n == len(seats) else None
+
+
+def _automaton(b: Sequence[int]) -> tuple[list[dict[int, int]], list[int], list[int]]:
+    """The suffix automaton of ``b``: each state's transitions, suffix link and longest string."""
+    moves: list[dict[int, int]] = [{}]
+    links, lengths, last = [-1], [0], 0
+    for x in b:
+        state = len(moves)
+        moves.append({})
+        lengths.append(lengths[last] + 1)
+        links.append(0)
+        p = last
+        while p >= 0 and x not in moves[p]:
+            moves[p][x] = state
+            p = links[p]
+        if p >= 0:
+            q = moves[p][x]
+            if lengths[q] != lengths[p] + 1:
+                moves.append(dict(moves[q]))
+                lengths.append(lengths[p] + 1)
+                links.append(links[q])
+                links[q] = len(moves) - 1
+                while p >= 0 and moves[p].get(x) == q:
+                    moves[p][x] = links[q]
+                    p = links[p]
+                q = links[q]
+            links[state] = q
+        last = state
+    return moves, links, lengths
+
+
+def _longest(a: Sequence[int], b: Sequence[int]) -> tuple[int, list[tuple[int, int]], dict[int, list[int]]]:
+    """The size of the longest runs of ``a`` that are runs of ``b``, where they start in ``a``, and where in ``b``.
+
+    A run is named by its state in the automaton, which has one of each size.
+    """
+    moves, links, lengths = _automaton(b)
+    state = size = best = 0
+    found: list[tuple[int, int]] = []
+    for end, x in enumerate(a, 1):
+        while state and x not in moves[state]:
+            state = links[state]
+            size = lengths[state]
+        if x in moves[state]:
+            state, size = moves[state][x], size + 1
+            if size > best:
+                best, found = size, []
+            if size == best:
+                found.append((end - best, state))
+    places: dict[int, list[int]] = {state: [] for _, state in found}
+    state = 0
+    for end, x in enumerate(b, 1) if best else ():
+        state = moves[state][x]
+        while lengths[links[state]] >= best:
+            state = links[state]
+        if end >= best and state in places:
+            places[state].append(end - best)
+    return best, found, places
+
+
+def matching_pairs(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]]:
+    """Pairs of places of equal items, from matching blocks: the longest one first, then those before and behind it.
+
+    Of equally long blocks the first in ``a``, then the first in ``b`` counts, as ``difflib.SequenceMatcher`` has it
+    without its heuristics. All longest blocks of a part are found at once by an automaton of the part's ``b``: no
+    run before the first of them is as long, and behind it the next is the first run of that size that has a place
+    behind both. So parts are nested as deep as their blocks differ in size, which is the square root of the items
+    at most; a part takes time in proportion to its items.
+    """
+    number: dict[Hashable, int] = {}
+    x, y = ([number.setdefault(item, len(number)) for item in items] for items in (a, b))
+    pairs, parts = [], [(0, len(x), 0, len(y))]
+    while parts:
+        a0, a1, b0, b1 = parts.pop()
+        if a0 == a1 or b0 == b1:
+            continue
+        if x[a0:a1] == y[b0:b1]:
+            pairs += zip(range(a0, a1), range(b0, b1))
+            continue
+        size, starts, places = _longest(x[a0:a1], y[b0:b1])
+        if not size:
+            continue
+        i0, j0 = 0, 0
+        for i, run in starts:
+            if i < i0:
+                continue
+            k = bisect_left(places[run], j0)
+            if k < len(places[run]):
+                j = places[run][k]
+                pairs += zip(range(a0 + i, a0 + i + size), range(b0 + j, b0 + j + size))
+                if size > 1:
+                    parts.append((a0 + i0, a0 + i, b0 + j0, b0 + j))
+                i0, j0 = i + size, j + size
+        if size > 1:
+            parts.append((a0 + i0, a1, b0 + j0, b1))
+    return sorted(pairs)
 
 
 def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Pairs of places at which two word lists agree by key, from their matching blocks."""
-    keys = [[letters(w).translate(_KEY) for w in words] for words in (a, b)]
-    blocks = difflib.SequenceMatcher(None, *keys, autojunk=False).get_matching_blocks()
-    return [(m.a + k, m.b + k) for m in blocks for k in range(m.size)]
+    return matching_pairs(list(map(key_of, a)), list(map(key_of, b)))
 
 
 def recover(bare: str | None, raw: str | None, existing: str | None) -> tuple[str, float]:
@@ -71,7 +176,7 @@ def recover(bare: str | None, raw: str | None, existing: str | None) -> tuple[st
 
     def offer(pairs: list[tuple[int, int]], source: list[str]) -> None:
         for i, j in pairs:
-            if i not in given and (seated := seat_marks(words[i], source[j])) and any(map(is_mark, seated)):
+            if i not in given and (seated := seat_marks(words[i], source[j])) and _MARKS.search(seated):
                 given[i] = seated
 
     offer(aligned(words, marked), marked)

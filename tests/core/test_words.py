@@ -1,6 +1,9 @@
 """Alignment, chunking and text functions against plain restatements and properties."""
 
+import difflib
+import random
 import re
+import time
 import unicodedata
 
 from hypothesis import given, settings
@@ -27,6 +30,51 @@ def test_recovery_keeps_the_letters(a, b, c):
         assert bare(got) == " ".join(bare(w) for w in a.split()) or got == a
 
 
+def blocks(a, b):
+    found = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
+    return [(m.a + k, m.b + k) for m in found for k in range(m.size)]
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=60), st.lists(st.sampled_from("abc"), max_size=60))
+@settings(max_examples=600, deadline=None)
+def test_matching_pairs_are_those_of_difflib(a, b):
+    assert alignment.matching_pairs(a, b) == blocks(a, b)
+
+
+@given(st.lists(st.integers(0, 30), max_size=120), st.lists(st.integers(0, 5), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_matching_pairs_of_edited_lists(a, cuts):
+    b = list(a)
+    for c in cuts:
+        b[c * 7 : c * 7 + c] = [c] * (3 - c if c < 3 else 0)
+    assert alignment.matching_pairs(a, b) == blocks(a, b) and alignment.matching_pairs(b, a) == blocks(b, a)
+
+
+def test_matching_pairs_of_long_lists_take_little_time():
+    rng = random.Random(6)
+    a = [rng.randrange(800) for _ in range(20_000)]
+    b = [w for k, w in enumerate(a) if k % 5 != 4]
+    began = time.perf_counter()
+    pairs = alignment.matching_pairs(a, b)
+    assert time.perf_counter() - began < 30 and len(pairs) >= 15_000
+    assert alignment.matching_pairs(a[:1500], b[:1200]) == blocks(a[:1500], b[:1200])
+
+
+@given(st.text("ab\u064e\u0651\u0670", max_size=9), st.text("xy\u064e\u0651\u0670", max_size=9))
+@settings(max_examples=300, deadline=None)
+def test_seated_marks_by_plain_code(bare_word, marked):
+    queue, out = [c for c in bare_word if c in "ab"], []
+    if len(queue) != sum(c in "xy" for c in marked):
+        assert alignment.seat_marks(bare_word, marked) is None
+        return
+    for c in marked:
+        if c in "xy":
+            out.append(queue.pop(0))
+        elif out:
+            out.append(c)
+    assert alignment.seat_marks(bare_word, marked) == "".join(out)
+
+
 def test_recovery_rules():
     assert alignment.recover("ذهب", "", "ذَهب") == ("ذهب", 0.0)
     assert alignment.recover("", "x", "y") == ("", 0.0) == alignment.recover(None, None, None)
@@ -107,6 +155,7 @@ def test_reports(spark):
     assert (r.n, r.q_words, r.old_q_marked, r.new_q_marked, r.new_coverage) == (1, 1, 0.0, 1.0, 0.5)
     oov = frontend.oov_count(rows, "text", spark.createDataFrame([(c,) for c in "قلم ا"], "symbol string"))
     assert {x.symbol: x.n for x in oov.collect()} == {"ك": 1, "ت": 1, "ب": 1}
-    assert frontend.gate(oov, 0, 3).first().verdict == "FAIL"
-    assert frontend.gate(oov.limit(0), 1, 3).first().verdict == "WARN" and frontend.gate(oov.limit(0), 0, 3).first().verdict == "PASS"
+    counted = lambda misaligned, n: spark.createDataFrame([(misaligned, n)], "misaligned_sentences long, sentences long")
+    assert frontend.gate(oov, counted(0, 3)).first().verdict == "FAIL"
+    assert [frontend.gate(oov.limit(0), counted(k, 100)).first().verdict for k in (0, 5, 6)] == ["PASS", "PASS", "WARN"]
     assert frontend.final_forms(spark.createDataFrame([("كتابك كتابك لك",)], "t string"), "t").collect()[0].n == 2
