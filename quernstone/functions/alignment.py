@@ -20,14 +20,17 @@ from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, QAF, SHADDA, SHO
 
 _KEY = str.maketrans(FOLD_FROM + QAF, FOLD_TO + JEEM)
 _FINAL = re.compile(f"[{SHORT_MARKS}](?=[{SHORT_MARKS}{SHADDA}]*(?: |$(?!\n)))")
-#: Runs of non-spacing marks, by their category.
-_MARKS = re.compile("[" + "".join(re.escape(chr(c)) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Mn") + "]+")
+#: Non-spacing marks, by their category, and runs of them. Those beyond 16 bits are looked for only there, since a
+#: class that has them is searched one by one.
+_DROPPED = dict.fromkeys(c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Mn")
+_LOW, _HIGH = ("".join(map(chr, filter(of, _DROPPED))) for of in (lambda c: c <= 0xFFFF, lambda c: c > 0xFFFF))
+_MARKS = re.compile(f"(?:[{_LOW}]|(?=[\U00010000-\U0010ffff])[{_HIGH}])+")
 #: Words whose letters and keys a worker remembers.
 REMEMBERED = 1 << 16
 
 
 def letters(word: str) -> str:
-    return _MARKS.sub("", word)
+    return word if word.isascii() else word.translate(_DROPPED)
 
 
 @lru_cache(REMEMBERED)

@@ -73,13 +73,15 @@ def sounds_of(text: Column, make: Callable[[], Callable[[list[str]], list[str]]]
             asked = np.array([k for k, t in enumerate(texts) if t], np.int64)
             for at in batches_by_length(np.array([len(texts[k]) for k in asked], np.int64), batch, most_padded):
                 for k, (sounds, error) in zip(asked[at], _answers(model, [texts[k] for k in asked[at]])):
-                    words = texts[k].split(" ")
-                    alone = None
-                    if error is None and len(sounds.split(" ")) != len(words):
-                        said = [x for a in range(0, len(words), batch) for x in _answers(model, words[a : a + batch])]
-                        error = next((e for _, e in said if e is not None), None)
-                        alone = [s for s, _ in said]
-                    out[k] = (None, None, error) if error else (sounds, alone, None)
+                    out[k] = (sounds, None, error)
+            uneven = {k: texts[k].split(" ") for k in asked if out[k][2] is None and out[k][0].count(" ") != texts[k].count(" ")}
+            words = list(dict.fromkeys(w for found in uneven.values() for w in found))
+            said = {}
+            for at in batches_by_length(np.fromiter(map(len, words), np.int64, len(words)), batch, most_padded):
+                said |= zip((words[k] for k in at), _answers(model, [words[k] for k in at]))
+            for k, found in uneven.items():
+                error = next((said[w][1] for w in found if said[w][1] is not None), None)
+                out[k] = (None, None, error) if error else (out[k][0], [said[w][0] for w in found], None)
             yield pd.DataFrame(out, columns=["sounds", "word_sounds", "error"])
 
     # Else a filter on what the model says would ask it once more.

@@ -109,22 +109,29 @@ def previous_words(words: Column) -> Column:
     return F.transform(words, lambda _, i: F.get(words, i - 1))
 
 
-def dialect_rewrite(words: Column, phonemes: Column, lexicon: Column) -> Column:
-    """Each word's phonemes with q as the dialect says it, or as they are for words that keep it.
+def keeps_q(words: Column, lexicon: Column) -> Column:
+    """For each word whether it keeps its q.
 
-    A word with qaf keeps its q if its letters are in ``lexicon`` (an array), or if the word before introduces
-    the name of a sura. Null if words and phonemes differ in number.
+    A word with qaf does if its letters are in ``lexicon`` (an array), or if the word before introduces the name
+    of a sura.
     """
     triggers = F.array(*map(F.lit, SURA_TRIGGERS))
 
-    def one(pair: Column, i: Column) -> Column:
-        word, sound = pair["word"], pair["sound"]
+    def one(word: Column, i: Column) -> Column:
         before = F.coalesce(F.array_contains(triggers, undiacritize(F.get(words, i - 1))), F.lit(False))
-        keep = word.contains(QAF) & (F.array_contains(lexicon, undiacritize(word)) | before)
-        return F.when(keep, sound).otherwise(F.replace(sound, F.lit(PLAIN_Q), F.lit(DIALECT_G)))
+        return F.when(word.contains(QAF), F.array_contains(lexicon, undiacritize(word)) | before).otherwise(False)
+
+    return F.transform(words, one)
+
 
-    pairs = F.zip_with(words, phonemes, lambda w, p: F.struct(w.alias("word"), p.alias("sound")))
-    return F.when(F.size(words) == F.size(phonemes), F.transform(pairs, one))
+def as_spoken(keeps: Column, sound: Column) -> Column:
+    """A word's phonemes, with q as the dialect says it unless the word keeps it."""
+    return F.when(keeps, sound).otherwise(F.replace(sound, F.lit(PLAIN_Q), F.lit(DIALECT_G)))
+
+
+def dialect_rewrite(words: Column, phonemes: Column, lexicon: Column) -> Column:
+    """Each word's phonemes ``as_spoken``. Null if words and phonemes differ in number."""
+    return F.when(F.size(words) == F.size(phonemes), F.zip_with(keeps_q(words, lexicon), phonemes, as_spoken))
 
 
 def stem(c: Column) -> Column:

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from quernstone.functions.alignment import recover_marks
 from quernstone.functions.models import sounds_of
-from quernstone.functions.text import KAF, QAF, clean_phonemes, dialect_rewrite, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
+from quernstone.functions.text import KAF, QAF, as_spoken, clean_phonemes, keeps_q, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
 
 
 def prepared(c: Column, strip: bool = False) -> Column:
     """Text as the phonemizer gets it."""
-    text = normalize_marks(normalize_text(c))
+    # Bound once, since marks are looked at several times.
+    text = F.get(F.transform(F.array(normalize_text(c)), normalize_marks), F.lit(0))
     return strip_final(text) if strip else text
 
 
@@ -31,17 +32,15 @@ def phonemized(rows: DataFrame, lexicon: Column, text: str = "text", sounds: str
         return rows.withColumn("spoken", F.when(empty, "").otherwise(clean)).drop("_words", "_sounds")
     alone = F.transform(F.col(word_sounds), clean_phonemes) if word_sounds else F.lit(None).cast("array<string>")
     fits = F.size("_words") == F.size("_sounds")
-    spoken = F.coalesce(dialect_rewrite(F.col("_words"), F.col("_sounds"), lexicon), dialect_rewrite(F.col("_words"), alone, lexicon))
-    # A word keeps its q if a q in its place stays one.
-    kept = F.zip_with(F.col("_words"), dialect_rewrite(F.col("_words"), F.transform("_words", lambda _: F.lit("q")), lexicon), lambda w, q: w.contains(QAF) & (q == "q"))
+    rows = rows.withColumns({"_keep": keeps_q(F.col("_words"), lexicon), "_sounds": F.when(fits, F.col("_sounds")).otherwise(alone), "_fits": fits})
     counted = {
-        "spoken": F.when(empty, "").otherwise(F.array_join(spoken, " ")),
-        "misaligned": ~empty & ~fits,
+        "spoken": F.when(empty, "").otherwise(F.array_join(F.when(F.size("_words") == F.size("_sounds"), F.zip_with("_keep", "_sounds", as_spoken)), " ")),
+        "misaligned": ~empty & ~F.col("_fits"),
         "n_words": F.when(empty, 0).otherwise(F.size("_words")).cast("long"),
         "n_q_words": F.size(F.filter("_words", lambda w: w.contains(QAF))).cast("long"),
-        "n_q_kept": F.size(F.filter(kept, lambda k: k)).cast("long"),
+        "n_q_kept": F.size(F.filter("_keep", lambda k: k)).cast("long"),
     }
-    return rows.withColumns(counted).drop("_words", "_sounds")
+    return rows.withColumns(counted).drop("_words", "_sounds", "_keep", "_fits")
 
 
 def phonemize(rows: DataFrame, make_model: Callable[[], Callable[[list[str]], list[str]]], lexicon: Column, text: str = "text", dialect: bool = True, strip: bool = False, batch: int = 64) -> DataFrame:
