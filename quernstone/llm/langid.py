@@ -134,18 +134,20 @@ def learnable(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 4 != 2
 
 
-def fit(docs: DataFrame, max_docs: int = 6000, per_doc: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteNet | None:
+def fit(docs: DataFrame, max_docs: int = 6000, per_doc: int = 4, max_languages: int = 1000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteNet | None:
     """A network learnt from a sample of ``max_docs`` rows at most, an equal share of each language.
 
     Only rows that are ``learnable`` and have a text and a language are used, and every language is learnt, from
     one row at least. The sample is the first rows of each language by a hash of the id, and at ties of the text,
     so it depends on the table's content alone; the driver receives ``per_doc`` windows of each sampled row. None
-    if there is nothing to learn.
+    if there is nothing to learn; an error if there are more than ``max_languages`` values to learn.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter(learnable("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_languages + 1).collect()}
     if not counts:
         return None
+    if len(counts) > max_languages:
+        raise ValueError(f"more than {max_languages} languages to learn; clean {lang_col!r} or raise max_languages")
     languages = sorted(counts)
     share = max(1, max_docs // len(languages))
     # Half as many rows again as are wanted, and some, pass by their hash, so that few move; of those the first stay.

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import compress
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -22,32 +23,33 @@ WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\x00-\x20\x7f0-9A-Za-z\x80-\xff]+")
 BITS = 20
 #: Odd multipliers that make a pair's hash of its words' hashes.
 PAIR = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
-#: Labelled rows that a term must be in to be learnt, and terms that are learnt at most: the most frequent.
-LEAST_ROWS, MOST_TERMS = 3, 1 << 12
-
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def term_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """The terms of the whole text, in order, and how often each occurs.
+def terms_of(text: bytes | None) -> np.ndarray:
+    """The terms of the whole text, as often as they occur.
 
     What stands between white space and equals what stands before it is no word: it counts for term 0 instead.
     What equals what stands two places before counts for term 1 too.
     """
     between = (text or b"").split()
-    h = _hashes(between)
-    once, twice = np.zeros((2, len(h)), bool)
-    once[1:] = h[1:] == h[:-1]
-    twice[2:] = h[2:] == h[:-2]
+    once, twice = np.zeros((2, len(between)), bool)
+    once[1:] = np.fromiter(map(eq, between[1:], between), bool, max(0, len(between) - 1))
+    twice[2:] = np.fromiter(map(eq, between[2:], between), bool, max(0, len(between) - 2))
     if once.any():
         text = b" ".join(compress(between, ~once))
     h = _hashes(WORD.findall(text or b""))
     pair = (h[:-1] * np.uint64(PAIR[0]) + h[1:]) * np.uint64(PAIR[1])
     repeated = np.repeat(np.arange(2, dtype=np.uint64), (once.sum(), (twice & ~once).sum()))
-    terms, counts = np.unique(np.concatenate((np.maximum(np.concatenate((h, pair)) >> np.uint64(64 - BITS), np.uint64(2)), repeated)), return_counts=True)
-    return terms.astype(np.int32), counts.astype(np.int32)
+    return np.concatenate((np.maximum(np.concatenate((h, pair)) >> np.uint64(64 - BITS), np.uint64(2)), repeated)).astype(np.int32)
+
+
+def term_counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The different terms of the whole text, in order, and how often each occurs."""
+    terms, counts = np.unique(terms_of(text), return_counts=True)
+    return terms, counts.astype(np.int32)
 
 
 def _times(starts: np.ndarray, columns: np.ndarray, values: np.ndarray, dense: np.ndarray, rows: int = 512) -> np.ndarray:
@@ -79,9 +81,16 @@ class Voters:
         Terms weigh 1 + log of their count, times their inverse document frequency. The more of that the latent
         space can't express, the shorter the vector is and the smaller are its cosines.
         """
-        known = self.place[terms] >= 0
-        place = self.place[terms[known]]
-        w = (1 + np.log(counts[known])) * self.idf[place]
+        return self._latent(np.repeat(self.place[terms], counts))
+
+    def latent_of(self, text: bytes | None) -> np.ndarray:
+        """``latent`` of a text: its terms are looked up first, so that only those which were learnt are counted."""
+        return self._latent(self.place[terms_of(text)])
+
+    def _latent(self, places: np.ndarray) -> np.ndarray:
+        counts = np.bincount(places[places >= 0], minlength=1)
+        place = np.flatnonzero(counts)
+        w = (1 + np.log(counts[place])) * self.idf[place] if len(place) else np.zeros(0, np.float32)
         return (w @ self.project[place] / max(np.linalg.norm(w), 1e-12)).astype(np.float32)
 
     def score(self, latent: np.ndarray, neighbours: int = 15, sharpness: float = 8.0, doubt: float = 1e-6) -> np.ndarray:
@@ -131,9 +140,12 @@ def learnable(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 != 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Voters | None:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, max_terms: int = 4096, least_rows: int = 3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Voters | None:
     """Voters from ``max_labelled`` labelled rows at most, the first by a hash of the id.
 
+    Of their terms those in ``least_rows`` rows or more are learnt, the ``max_terms`` most frequent at most. Both
+    bounds size the model that is broadcast: a vector of 32 numbers for each term and each row.
+
     Only ``learnable`` ids with label 0 or 1 count; an id with several labels takes its largest, and one with
     several texts the first by hash. The chosen ids are few, so they are broadcast to the documents. None if no
     labelled document is found. The model is of the tables' content alone, whatever their files and order.
@@ -150,8 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4096, id_col: st
             yield pa.RecordBatch.from_arrays([batch.column(1), *lists], names=["label", "terms", "counts"])
 
     sample = cut_lineage(texts.select("_text", "_label").mapInArrow(count, "label int, terms array<int>, counts array<int>"))
-    seen = sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_ROWS)
-    vocabulary = np.array([r.term for r in seen.orderBy(F.desc("n"), "term").limit(MOST_TERMS).collect()], np.int32)
+    seen = sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= least_rows)
+    vocabulary = np.array([r.term for r in seen.orderBy(F.desc("n"), "term").limit(max_terms).collect()], np.int32)
     known = np.zeros(1 << BITS, bool)
     known[vocabulary] = True
 
@@ -183,7 +195,7 @@ def score(docs: DataFrame, voters: Voters | None, threshold: float = 0.3, block:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary())
             scores = np.full(len(texts), 0.5)
             for k in range(0, len(texts) if voters else 0, block):
-                part = [voters.latent(*term_counts(t.as_py())) for t in texts[k : k + block]]
+                part = [voters.latent_of(t.as_py()) for t in texts[k : k + block]]
                 scores[k : k + block] = np.clip(voters.score(np.stack(part)), 0, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 

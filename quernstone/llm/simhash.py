@@ -135,7 +135,8 @@ def _labelled(fps: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str) -
     labels = connected_components(links)
     named = nodes.select("fingerprint", "first_id").join(labels.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     named = cut_lineage(named.select("fingerprint", "first_id", F.coalesce("label", "fingerprint").alias("label")))
-    first = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    # Written first: a join of two exchanges can be split where one label has very many rows.
+    first = cut_lineage(named.groupBy("label").agg(F.min("first_id").alias("component_id")))
     component = cut_lineage(named.join(first, "label").select("fingerprint", "component_id"))
     return fps.join(component, "fingerprint", "left").select(id_col, "fingerprint", "component_id")
 
@@ -178,8 +179,10 @@ def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes
 
     All shingles have one order: those that aren't in ``common`` by hash, then those of ``common`` from its end.
     Two sets of at least ``similarity`` have a shingle in common among their first n - ceil(similarity * n) + 1 of
-    n. Of these the first ``probes`` of either kind are taken: by hash they are a random choice, so if a share s
-    of the two sets' rare shingles is in both, they meet by none of them with a probability below (1 - s) ** probes.
+    n. Of these the first ``probes`` of either kind are taken. So sets of up to some probes / (1 - similarity)
+    shingles, 160 as it is, meet for certain. Larger ones meet with high probability: by hash their rare shingles
+    are a random choice, so if a share s of them is in both, none of them meets with a probability below
+    (1 - s) ** probes. With ``probes`` as large as the largest set all meet for certain.
     """
     n = len(found)
     rank = np.zeros(n, np.int64)
@@ -211,14 +214,21 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     fewer differing bits, by ``pigeonring_links``. Pairs that just reach 0.8 differ in 10 of 64 bits on average, a
     radius at which no segment prunes, so the other is a second key, ``second_keys``. Pairs that meet by a second
     key are counted only if four fingerprints of 64 bits differ in ``wide`` bits at most, some four standard
-    deviations more than pairs of 0.8 do (and in more for very small sets), and if their sizes, and what follows the key in the order, allow the similarity.
+    deviations more than pairs of 0.8 do (and in more for very small sets), and if their sizes, and what follows the
+    key in the order, allow the similarity. As they are, ``probes`` and ``wide`` lose a similar pair with a very
+    small probability; ``wide`` of 256 and ``probes`` as large as the largest set lose none, at the cost of more
+    keys and pairs.
     Copies of one text have the shingles that were changed in them before those that many copies have, so of a
     large group only those meet that have few changes.
 
     First each text is counted against one text of each way, which joins most of a large group: of the second, the
     nearest of those that have a key earliest in the order, which are the least changed. Then the texts are that
-    meet and are not yet in one component. Ids and nulls are treated as by ``near_duplicates``.
+    meet and are not yet in one component; in a key they meet by size too, since sizes of similar texts are within
+    the similarity of each other. Ids, nulls and repeated rows are treated as by ``near_duplicates``; null and empty
+    texts are equal to each other, further columns are ignored, and an empty table gives none.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
     common = _common_shingles(docs, shingle, id_col, text_col)
 
     def described(text: bytes | None) -> tuple:
@@ -268,8 +278,12 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     labels = connected_components(links).select(F.col("node").alias("of"), "label")
     named = met.drop("head").join(labels, F.col("x.fingerprint") == F.col("of"), "left").select("key", "x", F.coalesce("label", "x.fingerprint").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("key")
-    named = cut_lineage(named.join(mixed, "key", "left_semi"))
-    other = named.select("key", F.col("x").alias("y"), F.col("label").alias("label_y"))
-    rest = named.join(other, "key").filter((F.col("x.fingerprint") < F.col("y.fingerprint")) & (F.col("label") != F.col("label_y")) & close("x", "y"))
+    # Sizes of similar texts are in one band of sizes or in neighbouring ones.
+    band = F.floor(F.log(F.greatest(F.col("x.size"), F.lit(1))) / -math.log(similarity) + 1e-9) if similarity < 1 else F.col("x.size")
+    named = cut_lineage(named.join(mixed, "key", "left_semi").withColumn("band", band.cast("long")))
+    other = named.select(F.col("key").alias("of"), F.col("x").alias("y"), F.col("label").alias("label_y"), F.col("band").alias("band_y"))
+    near = named.withColumn("at", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    once = (F.col("band") < F.col("band_y")) | (F.col("x.fingerprint") < F.col("y.fingerprint"))
+    rest = near.join(other, (F.col("key") == F.col("of")) & (F.col("at") == F.col("band_y")) & once & (F.col("label") != F.col("label_y")) & close("x", "y"))
     links = links.unionByName(counted(rest.select(F.col("x.fingerprint").alias("src"), F.col("y.fingerprint").alias("dst"))))
     return _labelled(rows, nodes, links, id_col)

@@ -1,3 +1,4 @@
+import pytest
 import re
 import zlib
 from collections import Counter
@@ -119,8 +120,8 @@ def test_quality_votes_of_whole_rows_by_brute_force(spark, sf_dir):
     counts = {d: plain_terms(t) for d, t in texts.items()}
     learnt = [d for d in texts if d in label]
     in_rows = Counter(t for d in learnt for t in counts[d])
-    idf = {t: np.log((1 + len(learnt)) / (1 + n)) + 0.05 for t, n in in_rows.items() if n >= quality.LEAST_ROWS}
-    assert len(idf) < quality.MOST_TERMS and {t for t in range(1 << quality.BITS) if voters.place[t] >= 0} == idf.keys()
+    idf = {t: np.log((1 + len(learnt)) / (1 + n)) + 0.05 for t, n in in_rows.items() if n >= 3}
+    assert len(idf) < 4096 and {t for t in range(1 << quality.BITS) if voters.place[t] >= 0} == idf.keys()
 
     def vector(d):
         w = {t: (1 + np.log(n)) * idf[t] for t, n in counts[d].items() if t in idf}
@@ -136,6 +137,20 @@ def test_quality_votes_of_whole_rows_by_brute_force(spark, sf_dir):
         assert abs(r.score - want) < 2e-3 and r.predicted == (r.score >= 0.3)
 
 
+def test_vocabulary_bounds_are_parameters(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    few, rare = quality.fit(docs, labels, max_terms=50), quality.fit(docs, labels, least_rows=1)
+    assert len(few.idf) == 50 and len(rare.idf) == 4096
+    text = docs.first().text.encode()
+    assert np.allclose(few.latent_of(text), few.latent(*quality.term_counts(text)))
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = spark.createDataFrame([(k, "some text", f"l{k}") for k in range(40)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(rows, max_languages=20)
+
+
 def test_quality_vectors_are_the_leading_singular_ones():
     rng = np.random.default_rng(4)
     terms = [np.sort(rng.choice(np.r_[k % 3 * 40 + 2 : k % 3 * 40 + 42], 25, replace=False)).astype(np.int32) for k in range(90)]

@@ -124,6 +124,23 @@ def test_near_copies_match_brute_force(spark, sf_dir):
     assert {r.doc_id: r.component_id for r in simhash.near_copies(rows).collect()} == want
 
 
+def test_near_copies_are_exact_with_all_keys(spark):
+    """Long texts whose changes lie in one half, and neighbours in size: with all keys and no pruning none is lost."""
+    rng = random.Random(21)
+    texts = []
+    for n in (40, 600):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts.append(w)
+        for share in (0.02, 0.1, 0.17, 0.2, 0.23):
+            k = int(n * share)
+            texts += [w[k:], w[: n - k] + [f"x{rng.randrange(10**6)}" for _ in range(k // 2)], [f"y{rng.randrange(10**6)}" for _ in range(k // 4)] + w]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for similarity in (0.8, 1.0):
+        got = {r.doc_id: r.component_id for r in simhash.near_copies(df, similarity=similarity, wide=256, probes=10**6).collect()}
+        assert got == similar(rows, similarity)
+
+
 def test_near_copies_edge_rows(spark):
     rows = [(1, None), (2, ""), (None, "one two three four"), (3, "one two three four"), (3, "one two three four"), (None, "alone")]
     got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
