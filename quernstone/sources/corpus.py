@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import io
+import re
 import wave
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions.text import undiacritize
@@ -38,16 +42,43 @@ def shards(spark: SparkSession, root: str | list[str], split: str, schema: str |
     return reader.schema(schema).parquet(*paths) if schema else reader.option("mergeSchema", "true").parquet(*paths)
 
 
-def shard_audit(spark: SparkSession, root: str, split: str, schema: str = MANIFEST) -> DataFrame:
-    """``path``, ``bytes`` and ``rows`` of each shard; ``rows`` is null for a file of which none could be read.
+def _footer(path: str) -> tuple[int | None, str | None, str | None]:
+    """Rows and columns by a Parquet file's footer, or what is wrong with it; all None if its store can't be opened here."""
+    try:
+        store, name = pafs.FileSystem.from_uri(path if "://" in path else re.sub("^file:/*", "/", path))
+    except (pa.ArrowException, ValueError, OSError):
+        return None, None, None
+    try:
+        with store.open_input_file(name) as file:  # ranged: the length and the footer at its end are all that is read
+            found = pq.read_metadata(file)
+        return found.num_rows, ", ".join(f"{f.name} {f.type}" for f in found.schema.to_arrow_schema()), None
+    except (pa.ArrowException, OSError) as e:
+        return None, None, f"{type(e).__name__}: {e}"[:200]
+
 
-    A file without rows is told from an unreadable one by its being read without error only if it has rows, so
-    empty files are reported as unread too.
+def shard_audit(spark: SparkSession, root: str, split: str, schema: str = MANIFEST, tasks: int | None = None) -> DataFrame:
+    """``path``, ``bytes``, ``rows``, ``columns`` and ``error`` of each shard ``{split}-*.parquet`` below ``root``.
+
+    Footers are read in ``tasks`` tasks, by ranged access, so that large shards cost no more than small ones. An
+    empty shard has 0 rows and no error; a truncated or foreign file has an error and null rows. Where the tasks
+    can't open the store by themselves, rows are what Spark's own reader counts; it passes over bad files, and a
+    file of which it gives no row has ``not read`` as its error. Pages are not looked into, and a file of no bytes at
+    all, which Spark doesn't list, has no row here.
     """
     there = spark.read.format("binaryFile").option("pathGlobFilter", f"{split}-*.parquet").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("bytes"))
-    read = shards(spark, root, split, schema, skip_bad=True).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, columns, errors = zip(*map(_footer, batch["path"])) if len(batch) else ((), (), ())
+            yield batch.assign(rows=pd.array(rows, "Int64"), columns=pd.array(columns, "string"), error=pd.array(errors, "string"))
+
+    found = there.repartition(tasks, "path").mapInPandas(run, "path string, bytes long, rows long, columns string, error string")
+    counted = shards(spark, root, split, schema, skip_bad=True).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("counted"))
     same = F.regexp_replace("path", "^file:/*", "/") == F.regexp_replace("file", "^file:/*", "/")
-    return there.join(read, same, "left").select("path", "bytes", "rows")
+    closed = F.col("rows").isNull() & F.col("error").isNull()
+    error = F.when(closed & F.col("counted").isNull(), "not read").otherwise(F.col("error"))
+    return found.join(counted, same, "left").select("path", "bytes", F.coalesce("rows", F.when(closed, F.col("counted"))).alias("rows"), "columns", error.alias("error"))
 
 
 def project(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -60,10 +91,25 @@ def measured(c: Column | str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value``, ``file``, ``block`` (where its part of the file begins) and ``at``, which grows with the lines of a part."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    value = F.regexp_replace("value", r"\r\z", "")
+    return lines.select(value.alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+
+
 def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``idx`` (from 0, in file order) and ``value`` of a line file; the file is one row, so keep it small."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n")))
-    return lines.select(F.col("pos").alias("idx"), F.col("col").alias("value"))
+    """``idx`` (from 0, in file order) and ``value`` of a line file; of several files, each file's lines.
+
+    A large file is read in parts by several tasks. The parts' lines are counted first, and a line's number is the
+    lines of the parts before and its place in its own; so no task sees more than a part of the file, and the
+    numbers are the same however it is split. An empty file has no line.
+    """
+    lines = _placed_lines(spark, path)
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy("file", "block").agg(F.count("*").alias("n")).select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1
+    return lines.withColumn("place", place).join(starts, ["file", "block"]).select((F.col("start") + F.col("place")).cast("int").alias("idx"), "value")
 
 
 def evaluation_set(spark: SparkSession, path: str) -> DataFrame:
@@ -94,8 +140,8 @@ def with_hypotheses(refs: DataFrame, hyps: DataFrame) -> DataFrame:
 
 def last_losses(spark: SparkSession, path: str) -> DataFrame:
     """``loss``, ``disc_loss`` and ``gen_loss`` of a log's last step line; no row if there is none."""
-    lines = indexed_lines(spark, path).filter(F.col("value").rlike(r"Step \["))
-    last = lines.orderBy(F.desc("idx")).limit(1)
+    lines = _placed_lines(spark, path).filter(F.col("value").rlike(r"Step \["))
+    last = lines.agg(F.max_by("value", F.struct("file", "block", "at")).alias("value")).filter("value is not null")
     number = lambda name: F.regexp_extract("value", rf"{name}: ([0-9.]+)", 1)
     return last.select(*(F.when(x != "", x.cast("double")).alias(n) for n, x in (("loss", number(r"(?<!Disc )(?<!Gen )\bLoss")), ("disc_loss", number("Disc Loss")), ("gen_loss", number("Gen Loss")))))
 

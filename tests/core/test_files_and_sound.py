@@ -1,6 +1,7 @@
 """Sources, sinks and waveform measures, on files written here."""
 
 import io
+import random
 import wave
 
 import numpy as np
@@ -38,8 +39,75 @@ def test_shards_with_missing_columns_and_bad_files(spark, tmp_path):
     assert len(first) == 1 and corpus.shards(spark, first, "train").first().audio_file == "a"
     (d / "train-2.parquet").write_bytes(b"not parquet")
     assert corpus.shards(spark, str(d), "train", skip_bad=True).count() == 2
-    audit = {r.path.rsplit("/", 1)[1]: r.rows for r in corpus.shard_audit(spark, str(d), "train").collect()}
-    assert audit == {"train-0.parquet": 1, "train-1.parquet": 1, "train-2.parquet": None}
+    pq.write_table(pa.table({"audio_file": pa.array([], pa.string())}), d / "train-3.parquet")
+    (d / "train-4.parquet").write_bytes((d / "train-0.parquet").read_bytes()[:-40])
+    (d / "train-5.parquet").write_bytes(b"")  # not listed
+    audit = {r.path.rsplit("/", 1)[1]: (r.rows, r.columns, r.error is None) for r in corpus.shard_audit(spark, str(d), "train").collect()}
+    good = {"train-0.parquet": (1, "audio_file string, duration double, extra int64", True), "train-1.parquet": (1, "audio_file string, snr_db double", True), "train-3.parquet": (0, "audio_file string", True)}
+    assert audit == good | {f"train-{k}.parquet": (None, None, False) for k in (2, 4)}
+
+
+def test_an_audit_of_a_store_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    pq.write_table(pa.table({"audio_file": ["a", "b"]}), tmp_path / "train-0.parquet")
+    (tmp_path / "train-1.parquet").write_bytes(b"not parquet")
+    assert corpus._footer("viewfs://store/x.parquet") == (None, None, None)
+    found = corpus.shard_audit(spark, str(tmp_path), "train").collect()
+    assert {(r.rows, r.error is None) for r in found} == {(2, True), (None, False)}
+
+
+def test_lines_of_split_files(spark, tmp_path):
+    rng = random.Random(3)
+    lines = ["x" * rng.randrange(60) + str(k) for k in range(4000)]
+    lines[7] = ""
+    (tmp_path / "long.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    log = [f"Step [{k}] Loss: {k}.5, Disc Loss: 1.0, Gen Loss: 2.0" if k % 3 else f"note {k}" for k in range(3000)]
+    (tmp_path / "log").write_text("\r\n".join(log), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for most in ("1500", "100000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            assert spark.read.text(str(tmp_path / "long.txt")).rdd.getNumPartitions() > (20 if most == "1500" else 0)
+            got = {r.idx: r.value for r in corpus.indexed_lines(spark, str(tmp_path / "long.txt")).collect()}
+            assert got == dict(enumerate(lines))
+            assert tuple(corpus.last_losses(spark, str(tmp_path / "log")).first()) == (2999.5, 1.0, 2.0)
+            (tmp_path / "none").write_text("")
+            assert corpus.indexed_lines(spark, str(tmp_path / "none")).collect() == [] == corpus.last_losses(spark, str(tmp_path / "none")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_sound_files(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rows = [(f"d/clip.{k}.wav", f"s{k % 3}" if k % 7 else "a/b", [float(x) for x in rng.uniform(-1, 1, 30 + k)]) for k in range(40)]
+    df = spark.createDataFrame(rows + [("n.wav", "s1", None), (None, "s1", [0.1])], "audio_file string, speaker string, samples array<float>").repartition(5)
+    sinks.write_sounds(df, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_SUCCESS", "a_b", "s0", "s1", "s2"]
+    got = {r.path.split("/out/")[1]: r.samples for s in ("a_b", "s0", "s1", "s2") for r in corpus.wav_directory(spark, str(tmp_path / "out" / s)).collect()}
+    assert got.keys() == {f"{s.replace('/', '_')}/clip.{k}.wav" for k, (_, s, _) in enumerate(rows)}
+    assert all(np.allclose(got[f"{s.replace('/', '_')}/clip.{k}.wav"], x, atol=1e-4) for k, (_, s, x) in enumerate(rows))
+    with pytest.raises(Exception, match="two rows have this name"):
+        sinks.write_sounds(df, str(tmp_path / "out"))
+    sinks.write_sounds(df.limit(3), str(tmp_path / "out"), mode="overwrite")
+    assert not (tmp_path / "out" / "_temporary").exists()
+
+
+def test_a_failed_attempt_leaves_no_file(tmp_path):
+    batch = pa.record_batch({"name": ["s/a.wav", "s/b.wav"], "samples": [[0.5] * 9, [0.25] * 9]})
+
+    def failing():
+        yield batch
+        raise RuntimeError("executor lost")
+
+    writer = sinks.SoundWriter(str(tmp_path), 24_000, False)
+    with pytest.raises(RuntimeError):
+        writer.write(failing())
+    again = writer.write(iter([batch]))
+    assert not (tmp_path / "s").exists() and again.files == 2
+    writer.commit([again, None])
+    assert sorted(p.name for p in (tmp_path / "s").iterdir()) == ["a.wav", "b.wav"] and not (tmp_path / "_temporary").exists()
+    other = sinks.SoundWriter(str(tmp_path / "x"), 24_000, False)
+    other.abort([other.write(iter([batch]))])
+    assert not list((tmp_path / "x").iterdir())
 
 
 def test_line_files(spark, tmp_path):
