@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import alignment, audio, models, text, vectors
 from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, PHONEME_NOISE, QAF, SHADDA, SHORT_MARKS, TATWEEL, WER_PUNCTUATION
-from quernstone.operators import cohort, frontend, pairs, pools, quality, scoring, verdicts
+from quernstone.operators import cohort, frontend, pairs, pools, quality, scans, scoring, verdicts
 from quernstone.plans import views
 from quernstone.plans.views import WITH, rounded
 from quernstone.sources import sinks
@@ -639,15 +639,69 @@ def frame_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAUSED = ", ".join(f"('{k}', {int(v * audio.RATE)})" for k, v in audio.PAUSES.items())
+SMOOTHED = "list_transform(range(1, len(v) + 1), lambda i: (v[i] + CASE WHEN i > 1 THEN v[i - 1] ELSE 0 END) / 2)"
+POWER = "list_sum(list_transform({0}, lambda x: x * x)) / len({0})"
 
 
-@query(f"SELECT vec_id, kind, len(embedding) + n AS samples, round(CAST(0.25 AS DOUBLE), 6) AS kept FROM embeddings JOIN (VALUES {PAUSED}) p(kind, n) ON kind = ['ellipsis', 'stop', 'comma', 'forced'][vec_id % 4 + 1] WHERE list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) > 0")
+@query(WAVES + f", smooth AS (SELECT vec_id, v, {SMOOTHED} AS s FROM waves) SELECT vec_id, kind, len(v) + n AS samples, round({POWER.format('s')} / greatest({POWER.format('v')}, 1e-20), 6) AS kept FROM smooth JOIN (VALUES {PAUSED}) p(kind, n) ON kind = ['ellipsis', 'stop', 'comma', 'forced'][vec_id % 4 + 1]")
 def pauses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors as waves with a pause by kind, and the power that half the amplitude keeps."""
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(vectors.norm(F.col("embedding")) > 0)
+    """Vectors as waves with a pause by kind, and the power that a mean of each sample and the one before keeps."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").withColumn("v", F.transform("embedding", lambda x: x.cast("double")))
     kind = F.element_at(F.array(*map(F.lit, ("ellipsis", "stop", "comma", "forced"))), (F.col("vec_id") % 4 + 1).cast("int"))
-    rows = rows.withColumns({"kind": kind, "half": F.transform("embedding", lambda x: x / 2)})
-    return rounded(rows.select("vec_id", "kind", F.size(audio.with_pause(F.col("embedding"), F.col("kind"))).cast("long").alias("samples"), audio.retained_power(F.col("half"), F.col("embedding")).alias("kept")))
+    smooth = F.transform("v", lambda x, i: (x + F.coalesce(F.get("v", i - 1), F.lit(0.0))) / 2)
+    rows = rows.withColumns({"kind": kind, "smooth": smooth})
+    return rounded(rows.select("vec_id", "kind", F.size(audio.with_pause(F.col("embedding"), F.col("kind"))).cast("long").alias("samples"), audio.retained_power(F.col("smooth"), F.col("v")).alias("kept")))
+
+
+def _sounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wave of 3,000 samples or more for each vector: its components again and again, each time by another gain, with silence around."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", (F.col("vec_id") % 500).cast("int").alias("quiet"))
+    gain = lambda i: ((i * 7919) % 101 - 50) / 50.0
+    loud = F.transform(F.sequence(F.lit(0), F.lit(2999)), lambda i: (F.get("embedding", i % F.size("embedding")) * gain(i)).cast("float"))
+    silence = F.array_repeat(F.lit(0.0).cast("float"), F.col("quiet"))
+    return rows.select("vec_id", F.concat(silence, loud, silence).alias("wave"))
+
+
+@query()
+def band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_sounds(spark, sf_dir).select("vec_id", audio.band_profile(F.col("wave")).alias("m")).select("vec_id", "m.*").drop("ok"))
+
+
+@query()
+def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_sounds(spark, sf_dir).select("vec_id", audio.bands(F.col("wave")).alias("m")).select("vec_id", "m.*").drop("ok"))
+
+
+@query()
+def trim_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many samples are left of each wave, the sum of their amounts and the places of their first and last loud ones."""
+    trimmed = audio.trim_silence(F.col("wave"))
+    rows = _sounds(spark, sf_dir).select("vec_id", F.size("wave").alias("samples"), trimmed.alias("t"))
+    total = F.aggregate("t", F.lit(0.0), lambda s, x: s + F.abs(x.cast("double")))
+    return rows.select("vec_id", "samples", F.size("t").alias("kept"), F.round(total, 3).alias("total"))
+
+
+#: Clips of videos by rule: every event is one, twenty users share a video, and every thirtieth has no end.
+CLIPPED = """
+SELECT event_id, concat('v', user_id % 20) AS video_id, (event_id * 7919 % 100003) / 4.0D AS start,
+       CASE WHEN event_id % 30 <> 7 THEN (event_id * 7919 % 100003) / 4.0D + value / 8.0D END AS finish
+FROM events"""
+
+
+@query(
+    "WITH clips AS ("
+    + views.duckdb_numbers(CLIPPED)
+    + """), sound AS (SELECT * FROM clips WHERE start <= finish),
+reached AS (SELECT *, max(finish) OVER (PARTITION BY video_id ORDER BY start, finish, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM sound),
+numbered AS (SELECT *, sum(CASE WHEN reach IS NULL OR start >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY video_id ORDER BY start, finish, event_id) - 1 AS island FROM reached)
+SELECT video_id, CAST(island AS BIGINT) AS island, count(*) AS clips, round(min(start), 6) AS start, round(max(finish), 6) AS finish, round(sum(finish - start), 6) AS seconds FROM numbered GROUP BY video_id, island
+UNION ALL SELECT video_id, NULL, count(*), round(min(start), 6), NULL, NULL FROM clips WHERE finish IS NULL GROUP BY video_id"""
+)
+def clip_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping clips of a video as islands, with what they cover; clips without an end are apart."""
+    rows = spark.sql(CLIPPED.replace("FROM events", "FROM {events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    found = scans.islands(rows, "video_id", "start", "finish", "event_id")
+    return rounded(found.groupBy("video_id", "island").agg(F.count("*").alias("clips"), F.min("start").alias("start"), F.max("finish").alias("finish"), F.sum(F.col("finish") - F.col("start")).alias("seconds")))
 
 
 # Scoring ---------------------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators import cohort
-from quernstone.operators.scans import places, running_before
+from quernstone.operators.scans import islands, places, running_before
 from quernstone.plans.registry import QUERIES
 
 
@@ -40,6 +40,27 @@ def test_greedy_prefix_takes_the_row_that_reaches_the_budget(spark):
     assert [r.speaker for r in cohort.greedy_prefix(rows, 10.0).collect()] == ["a"]
 
 
+def test_islands_by_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(500):
+        start = float(rng.choice([rng.randrange(0, 3000), 40, 41]))
+        rows.append((k, rng.choice(["hot", "hot", "hot", "a", None]), rng.choice([start, start, start, None]), rng.choice([start + rng.choice([0, 1, 3, 9]), start + 2, start - 1, None])))
+    rows.append((999, "hot", 100.0, 700.0))
+    want = {}
+    for key in ("hot", "a", None):
+        reach, number = None, -1
+        for k, _, start, end in sorted((r for r in rows if r[1] == key and None not in r[2:] and r[2] <= r[3]), key=lambda r: (r[2], r[3], r[0])):
+            number += reach is None or start >= reach
+            reach = end if reach is None else max(reach, end)
+            want[k] = number
+    df = spark.createDataFrame(rows, "k long, video string, start double, finish double")
+    for parts in (1, 4, 23):
+        got = {r.k: r.island for r in islands(df, "video", "start", "finish", "k", parts).collect()}
+        assert got == {k: want.get(k) for k, *_ in rows}
+    assert islands(df.limit(0), "video", "start", "finish", "k").collect() == []
+
+
 @pytest.mark.parametrize("name", ["dense_id", "append_id", "greedy_prefix", "selection", "train_list"])
 def test_no_window_over_all_rows(spark, sf_dir, name):
     text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

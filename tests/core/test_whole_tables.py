@@ -5,6 +5,7 @@ import re
 import unicodedata
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,45 @@ def test_normalize_marks_of_long_runs(spark):
     want = {t: re.sub(f"([{marks}])\\1+", r"\1", re.sub(f"[{marks}]+", tidy, t)) for t in texts}
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert {r.t: r.n for r in df.select("t", registry.text.normalize_marks(F.col("t")).alias("n")).collect()} == want
+
+
+def sounds(spark, sf_dir):
+    for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect():
+        quiet = np.zeros(r.vec_id % 500, np.float32)
+        gains = np.array([((i * 7919) % 101 - 50) / 50.0 for i in range(3000)])
+        yield r.vec_id, np.concatenate([quiet, (np.resize(np.array(r.embedding, np.float32), 3000) * gains).astype(np.float32), quiet])
+
+
+def test_spectra_and_trimming_of_all_waves(spark, sf_dir):
+    """By sums over cosines and sines, frame by frame and bin by bin, for each wave of the table."""
+    names = ("band_profile", "bands", "trim_silence")
+    profile, bands, trims = ({r.vec_id: r for r in registry.QUERIES[n](spark, sf_dir).collect()} for n in names)
+    hz = np.arange(1025) * 24_000 / 2048
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(2048), np.arange(1025)) / 2048)
+    window = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(2048) / 2047)
+    inside = lambda lo, hi: (hz >= lo) & (hz < hi)
+    seen = 0
+    for k, x in sounds(spark, sf_dir):
+        seen += 1
+        level = np.abs(x)
+        loud = [i for i, v in enumerate(level) if v > 0.02 * level.max()]
+        first, last = max(0, loud[0] - 480), min(len(x), loud[-1] + 480)
+        kept = x[first:last].astype(float)
+        for i in range(120):
+            kept[i] *= i / 119
+            kept[-1 - i] *= i / 119
+        assert (trims[k].samples, trims[k].kept) == (len(x), len(kept)) and trims[k].total == pytest.approx(np.abs(kept).sum(), abs=2e-3)
+        amplitude = np.abs(np.stack([x[a : a + 2048].astype(float) * window for a in range(0, len(x) - 2047, 512)]) @ turn)
+        power = amplitude**2
+        heard, top = power[:, inside(300, 8000)].sum(axis=1).mean(), power[:, inside(8200, 11_500)].sum(axis=1).mean()
+        assert profile[k].high_low_db == pytest.approx(10 * np.log10(top / heard), abs=1e-4)
+        assert profile[k].centroid_hz == pytest.approx((power.sum(axis=0) * hz).sum() / power.sum(), abs=1e-2)
+        mean = power.mean(axis=0)
+        for b in range(7, 12):
+            part = mean[inside(1000 * b, 1000 * b + 1000)]
+            assert profile[k][f"pkmean_{b}_{b + 1}k"] == pytest.approx(part.max() / part.mean(), rel=1e-4)
+        for lo, hi in ((1, 4), (4, 8), (8, 10), (10, 12)):
+            part = amplitude[:, inside(1000 * lo, 1000 * hi)]
+            assert bands[k][f"db_{lo}_{hi}k"] == pytest.approx(20 * np.log10(part.mean()), abs=1e-4)
+            assert bands[k][f"pkmean_{lo}_{hi}k"] == pytest.approx(part.max(axis=1).mean() / part.mean(), rel=1e-4)
+    assert seen == len(profile) == len(bands) == len(trims)
