@@ -240,7 +240,7 @@ def centroid_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(WITH + CENTROID_PAIRS + " SELECT count(*) AS pairs, round(avg(CASE WHEN cos > 0.35 THEN 1.0 ELSE 0.0 END), 6) AS share, CASE WHEN avg(CASE WHEN cos > 0.35 THEN 1.0 ELSE 0.0 END) > 0.9 THEN 'ONE' WHEN avg(CASE WHEN cos > 0.35 THEN 1.0 ELSE 0.0 END) < 0.2 THEN 'MANY' ELSE 'MIXED' END AS verdict FROM label_pairs")
 def speaker_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(pairs.speaker_verdict(pairs.centroid_pairs(views.vectors(spark, sf_dir), "label", "ecapa")))
+    return rounded(pairs.speaker_verdict(views.vectors(spark, sf_dir), "label", "ecapa"))
 
 
 NORMS = ", norms AS (SELECT vec_id, sqrt(list_sum(list_transform(ecapa, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS norm FROM vectors)"

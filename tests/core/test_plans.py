@@ -9,7 +9,7 @@ from quernstone.operators import pools, quality
 from quernstone.plans import views
 from quernstone.plans.registry import QUERIES
 
-PYTHON = {"pair_cosine", "recover_marks", "coverage_report", "chunk_text", "phonemize", "encode_clips", "edit_distance", "wer_cer", "wer_by_category", "wer_gate", "band_profile", "bands", "trim_silence"}
+PYTHON = {"pair_cosine", "recover_marks", "coverage_report", "chunk_text", "phonemize", "encode_clips", "edit_distance", "wer_cer", "wer_by_category", "wer_gate", "band_profile", "bands", "trim_silence", "speaker_verdict"}
 
 
 def plan(df):
@@ -39,3 +39,7 @@ def test_caps_come_before_the_shuffle(spark, sf_dir):
 def test_rejection_is_an_anti_join(spark, sf_dir):
     text = plan(QUERIES["rejected"](spark, sf_dir))
     assert "LeftAnti" in text and not re.search("NestedLoop|Cartesian", text)
+
+
+def test_pairs_of_centroids_meet_by_blocks(spark, sf_dir):
+    assert not re.search("NestedLoop|Cartesian", plan(QUERIES["centroid_pairs"](spark, sf_dir)))
