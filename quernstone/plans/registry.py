@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.checkpoints import shared_folder
 from quernstone.functions import alignment, audio, models, text, vectors
 from quernstone.functions.text import FOLD_FROM, FOLD_TO, JEEM, PHONEME_NOISE, QAF, SHADDA, SHORT_MARKS, TATWEEL, WER_PUNCTUATION
 from quernstone.operators import cohort, frontend, pairs, pools, quality, scans, scoring, verdicts
 from quernstone.plans import views
 from quernstone.plans.views import WITH, rounded
-from quernstone.sources import sinks
+from quernstone.sources import corpus, sinks
 from quernstone.sources.corpus import measured
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -704,6 +706,57 @@ def clip_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.groupBy("video_id", "island").agg(F.count("*").alias("clips"), F.min("start").alias("start"), F.max("finish").alias("finish"), F.sum(F.col("finish") - F.col("start")).alias("seconds")))
 
 
+# Files -----------------------------------------------------------------------------------------------------------
+
+
+def _fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    WITH
+    + """SELECT audio_file, speaker, duration, CASE WHEN CAST(audio_file AS BIGINT) % 3 <> 0 THEN snr_db END AS snr_db, CASE WHEN CAST(audio_file AS BIGINT) % 3 = 0 THEN coverage END AS coverage, CAST(NULL AS VARCHAR) AS shard FROM clips"""
+)
+def read_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips written as shards of unlike columns, two thirds without ``coverage`` and one without ``snr_db``, and read as one corpus."""
+    root, clips = _fresh_folder(spark, "shards"), views.clips(spark, sf_dir)
+    third = F.col("audio_file").cast("long") % 3 == 0
+    sinks.write_table(clips.filter(~third).drop("coverage"), f"{root}/a")
+    sinks.write_table(clips.filter(third).drop("snr_db", "music_score"), f"{root}/b")
+    return corpus.shards(spark, root, "part").select("audio_file", "speaker", "duration", "snr_db", "coverage", "shard")
+
+
+#: A file of sentences by rule: each turn's role, a tab and its text, with comments and lines without a tab between.
+SENTENCES = "CASE WHEN turn % 7 = 3 THEN '# ' || role || chr(9) || {0} WHEN turn % 7 = 5 THEN {0} ELSE role || chr(9) || {0} || CASE WHEN turn % 2 = 0 THEN chr(9) || 'more' ELSE '' END END"
+ONE_LINE = "replace(replace(text, chr(10), ' '), chr(13), ' ')"
+TRIMMED = "trim({0}, ' ')"
+
+
+@query(f"WITH l AS (SELECT {SENTENCES.format(ONE_LINE)} AS line FROM conversations) SELECT {TRIMMED.format('string_split(line, chr(9))[1]')} AS category, {TRIMMED.format('substr(line, strpos(line, chr(9)) + 1)')} AS text FROM l WHERE NOT starts_with(line, '#') AND contains(line, chr(9))")
+def evaluation_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns written as tab-separated sentences and read again: comments and lines without a tab go, the first tab parts."""
+    path = _fresh_folder(spark, "sentences")
+    lines = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(F.expr(SENTENCES.format(ONE_LINE)).alias("line"))
+    sinks.write_lines(lines, path)
+    return corpus.evaluation_set(spark, path)
+
+
+SAMPLED = "list_transform(embedding, lambda x: CAST(trunc(greatest(least(CAST(x AS DOUBLE), 1), -1) * 32767) AS BIGINT))"
+
+
+@query(f"SELECT 's' || (vec_id % 20) AS speaker, CAST(vec_id AS VARCHAR) AS stem, len(embedding) AS samples, CAST(list_sum({SAMPLED}) AS BIGINT) AS total, list_max({SAMPLED}) AS top FROM embeddings WHERE vec_id % 13 <> 0")
+def sound_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written as one sound file each below their speaker's folder, and the folders read again."""
+    path = _fresh_folder(spark, "sounds")
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.select(F.concat(F.lit("s"), F.col("vec_id") % 20).alias("speaker"), F.concat(F.lit("clips/"), F.col("vec_id").cast("string"), F.lit(".flac")).alias("audio_file"), F.when(F.col("vec_id") % 13 != 0, F.col("embedding")).alias("samples"))
+    sinks.write_sounds(rows, path)
+    sound = F.transform("samples", lambda x: F.round(x.cast("double") * 32768).cast("long"))
+    found = corpus.wav_directory(spark, f"{path}/s*").select(F.split("path", "/").alias("p"), sound.alias("x"))
+    return found.select(F.element_at("p", -2).alias("speaker"), text.stem(F.element_at("p", -1)).alias("stem"), F.size("x").cast("long").alias("samples"), F.aggregate("x", F.lit(0).cast("long"), lambda t, x: t + x).alias("total"), F.array_max("x").alias("top"))
+
+
 # Scoring ---------------------------------------------------------------------------------------------------------
 
 #: Letters beyond ASCII of the tables' texts; DuckDB's levenshtein counts bytes, so each becomes one ASCII byte that no normalised text has.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import io
 import os
+import re
 import shutil
 import uuid
 import wave
@@ -143,6 +144,9 @@ def write_sounds(df: DataFrame, path: str, speaker: str = "speaker", key: str =
     have written and then writes ``_SUCCESS``. A name that is there already, or that two rows have, is an error
     unless ``mode`` is ``overwrite``, which leaves one of them and other files alone.
     """
+    path = re.sub("^file:/*", "/", path)
+    if "://" in path:
+        raise ValueError(f"{path}: sound files are written to a mounted folder")
     df.sparkSession.dataSource.register(SoundFiles)
     rows = df.filter(F.col(samples).isNotNull() & F.col(speaker).isNotNull() & F.col(key).isNotNull())
     folder = F.regexp_replace(F.col(speaker).cast("string"), "[/\\\\]|^[.]+$", "_")

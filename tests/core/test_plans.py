@@ -9,7 +9,7 @@ from quernstone.operators import pools, quality
 from quernstone.plans import views
 from quernstone.plans.registry import QUERIES
 
-PYTHON = {"pair_cosine", "recover_marks", "coverage_report", "chunk_text", "phonemize", "encode_clips", "edit_distance", "wer_cer", "wer_by_category", "wer_gate", "band_profile", "bands", "trim_silence", "speaker_verdict"}
+PYTHON = {"pair_cosine", "recover_marks", "coverage_report", "chunk_text", "phonemize", "encode_clips", "edit_distance", "wer_cer", "wer_by_category", "wer_gate", "band_profile", "bands", "trim_silence", "speaker_verdict", "sound_files"}
 
 
 def plan(df):
