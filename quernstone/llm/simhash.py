@@ -123,7 +123,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     equal fingerprints are one node of the graph, so groups of copies cost one row. Null and empty texts have
     fingerprint 0 and are linked like any other. Rows with a null id take the component of their fingerprint's
     other rows and join nothing themselves (null if there is none). Repeated rows come out as often as they
-    come in; further columns are ignored.
+    come in; further columns are ignored; an empty table gives no rows.
     """
     fps = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     nodes = cut_lineage(fps.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("first_id")))
