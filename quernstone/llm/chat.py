@@ -9,6 +9,8 @@ from quernstone.llm.common import cut_lineage
 
 #: The template: a header, the message and an end mark make a segment.
 OWN, OTHER, CONTEXT, END = "<|assistant|>\n", ("<|user name=", "|>\n"), "<|system|>\n", "<|end|>\n"
+#: Bytes of conversation ids that are broadcast at most.
+BROADCAST = 1 << 24
 
 
 def _plain(text: Column) -> Column:
@@ -30,10 +32,10 @@ def _crowded(said: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame] |
     """
     full = said.groupBy("conv", "block").agg(F.count("*").alias("n")).filter(F.col("n") > block_rows)
     full = cut_lineage(full.select(F.col("conv").alias("c"), F.col("block").alias("b"), "n"))
-    n, groups = full.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    n, size = full.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.coalesce(F.octet_length(F.col("c").cast("string")), F.lit(0)) + 32), F.lit(0))).first()
     if not n:
         return None
-    full = F.broadcast(full.drop("n")) if groups <= 100_000 else full.drop("n")
+    full = F.broadcast(full.drop("n")) if size <= BROADCAST else full.drop("n")
     at = F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
     order = ["conv", "block", "turn", "speaker", "message"]
     crowd = said.join(full, at, "left_semi").groupBy(*order).agg(F.count("*").alias("copies"))
