@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.functions import text
+from quernstone.functions import distance, text
 from quernstone.operators import cohort, pools, quality, scoring, verdicts
 from quernstone.sources.corpus import measured
 
@@ -99,7 +99,7 @@ def test_wer_gate(spark, monkeypatch):
 
 @pytest.mark.parametrize("a, b, d", [("abc", "axcd", 2), ("abc", "", 3), ("", "qr", 2), ("", "", 0), ("قج", "جق", 2)])
 def test_edit_distance(spark, a, b, d):
-    assert one(spark, text.edit_distance(F.col("a"), F.col("b")), a=list(a), b=list(b)) == d
+    assert one(spark, distance.edit_distance(F.col("a"), F.col("b")), a=list(a), b=list(b)) == d
 
 
 @pytest.mark.parametrize(
