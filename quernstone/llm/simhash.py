@@ -15,6 +15,8 @@ from quernstone.llm.common import connected_components, cut_lineage
 
 #: Seed of the shingle hash, and the names of a set's fingerprints.
 SEED, PRINTS = 42, ("a", "b", "c", "d")
+#: So many shingles are counted in a task before their counts are handed on.
+COUNTED = 1 << 21
 
 
 def shingle_hashes(text: bytes | None, shingle: int = 3) -> np.ndarray:
@@ -196,12 +198,36 @@ def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes
     return rare, found[np.concatenate((first[:rare][:probes], first[rare:][:probes]))]
 
 
-def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, sampled: int = 8192, most: int = 100_000) -> np.ndarray:
-    """The most frequent shingles of some ``sampled`` texts, most frequent first. They order, and decide nothing."""
-    n = max(1, docs.count() // sampled)
-    some = docs.filter(F.pmod(F.xxhash64(text_col), F.lit(n)) == 0).dropDuplicates([text_col])
-    found = _mapped(some, lambda t: _set_of(t, shingle), "fingerprint long, shingles array<long>", id_col, text_col)
-    counts = found.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, broadcast_ids: int = 1 << 20, most: int = 100_000) -> np.ndarray:
+    """The ``most`` shingles that are in most texts, in three at least, most frequent first. They order, and decide nothing.
+
+    Each text of the table is counted, copies of one text once, and rows without an id not at all.
+    """
+    docs = docs.filter(F.col(id_col).isNotNull())
+    named = docs.select(F.xxhash64(text_col).alias("of"), F.col(id_col).alias("id"))
+    first = cut_lineage(named.groupBy("of").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    copies = cut_lineage(named.join(first, "of").filter("id <> first").select(F.col("id").alias(id_col)).distinct())
+    few = copies.count() <= broadcast_ids
+    once = docs.select(id_col, text_col).join(F.broadcast(copies) if few else copies, id_col, "left_anti")
+
+    def summed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        s, n = np.unique(np.concatenate(held), return_counts=True)
+        for k in range(0, len(s), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(s[k : k + (1 << 16)].view(np.int64)), pa.array(n[k : k + (1 << 16)])], names=["s", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for t in batch.column(0).cast(pa.binary()):
+                held.append(_set_of(t.as_py(), shingle)[1])
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield from summed(held)
+                    held, size = [], 0
+        if held:
+            yield from summed(held)
+
+    counts = once.select(text_col).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
     rows = counts.filter("n > 2").orderBy(F.desc("n"), "s").limit(most).select("s").collect()
     return np.array([r.s for r in rows], np.int64).view(np.uint64)
 
@@ -229,7 +255,7 @@ def near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radi
     """
     if not 0 < similarity <= 1:
         raise ValueError("similarity must be above 0 and at most 1")
-    common = _common_shingles(docs, shingle, id_col, text_col)
+    common = _common_shingles(docs, shingle, id_col, text_col, broadcast_ids)
 
     def described(text: bytes | None) -> tuple:
         name, found = _set_of(text, shingle)
