@@ -8,7 +8,7 @@ hold the model.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -54,6 +54,20 @@ def _answers(ask: Callable[[list], list], items: list) -> list[tuple[object, str
         return [_answers(ask, [x])[0] for x in items]
 
 
+def slices_of(lengths: Iterable[int], most: int = 1024, most_chars: int = 1 << 20) -> Iterator[slice]:
+    """Slices of a batch's rows: ``most`` rows and ``most_chars`` in all at most, or one row that is longer.
+
+    Spark's batches have so many rows whatever their size; what is made of them is held for a slice at a time.
+    """
+    begin = end = held = 0
+    for end, n in enumerate(lengths):
+        if end > begin and (end - begin == most or held + n > most_chars):
+            yield slice(begin, end)
+            begin, held = end, 0
+        held += n
+    yield slice(begin, end + 1)
+
+
 def sounds_of(text: Column, make: Callable[[], Callable[[list[str]], list[str]]], batch: int = 64, most_padded: int = 1 << 20) -> Column:
     """A phonemizer on a column: a struct of ``sounds``, ``word_sounds`` and ``error``.
 
@@ -67,7 +81,7 @@ def sounds_of(text: Column, make: Callable[[], Callable[[list[str]], list[str]]]
     @F.pandas_udf("sounds string, word_sounds array<string>, error string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = _model(name, make)
-        for texts in parts:
+        for texts in (part.iloc[s] for part in parts for s in slices_of(len(t) if isinstance(t, str) else 0 for t in part)):
             texts = [None if pd.isna(t) else t for t in texts]
             out: list[tuple] = [("", None, None)] * len(texts)
             asked = np.array([k for k, t in enumerate(texts) if t], np.int64)
@@ -109,7 +123,7 @@ def encoded(samples: Column, make: Callable[[], Callable[[np.ndarray, np.ndarray
                 row[: len(wave)] = wave
             return list(np.asarray(model(padded, lengths / lengths.max()), np.float64))
 
-        for waves in parts:
+        for waves in (part.iloc[s] for part in parts for s in slices_of(0 if x is None else len(x) for x in part)):
             waves = [None if x is None else np.asarray(x, np.float32) for x in waves]
             out: list[tuple] = [(None, None)] * len(waves)
             asked = np.array([k for k, x in enumerate(waves) if x is not None and len(x)], np.int64)
