@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.checkpoints import cut_lineage
 from quernstone.functions.alignment import recover_marks
 from quernstone.functions.models import sounds_of
-from quernstone.functions.text import KAF, QAF, as_spoken, clean_phonemes, keeps_q, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
+from quernstone.functions.text import KAF, QAF, as_spoken, characters, clean_phonemes, keeps_q, latin_runs, normalize_marks, normalize_text, pausal_ok, strip_final, tokens, undiacritize
 
 
 def prepared(c: Column, strip: bool = False) -> Column:
@@ -79,9 +80,32 @@ def counters(rows: DataFrame, source: str = "text") -> DataFrame:
 def oov_count(rows: DataFrame, text: str, vocabulary: DataFrame) -> DataFrame:
     """``symbol`` and ``n`` of the characters that ``vocabulary`` (column ``symbol``) lacks, most frequent first."""
     symbols = rows.select(F.explode(F.split(F.col(text), "")).alias("symbol")).filter("symbol <> ''").groupBy("symbol").agg(F.count("*").alias("n"))
+    return missing(symbols, vocabulary)
+
+
+def missing(symbols: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``symbol`` and ``n`` of counted characters that ``vocabulary`` (column ``symbol``) lacks, most frequent first."""
     return symbols.join(vocabulary.select("symbol").distinct(), "symbol", "left_anti").orderBy(F.desc("n"), "symbol")
 
 
+def tallied(rows: DataFrame, text: str = "spoken") -> DataFrame:
+    """``misaligned``, ``symbol`` and ``n``: how often each character is in aligned and in misaligned rows of ``phonemized``.
+
+    The empty symbol counts the rows themselves. It has all that gates ask of the rows, so that these are made and read
+    once, and is as small as the alphabet; it is checkpointed.
+    """
+    symbols = F.concat(F.array(F.lit("")), F.coalesce(characters(F.col(text)), F.array().cast("array<string>")))
+    return cut_lineage(rows.select("misaligned", F.explode(symbols).alias("symbol")).groupBy("misaligned", "symbol").agg(F.count("*").alias("n")))
+
+
+def tallied_gate(tally: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``gate`` of the rows that ``tallied`` has counted."""
+    symbols = tally.filter("symbol <> ''").groupBy("symbol").agg(F.sum("n").alias("n"))
+    sentences = F.coalesce(F.sum("n"), F.lit(0))
+    counted = tally.filter("symbol = ''").agg(F.coalesce(F.sum(F.when(F.col("misaligned"), F.col("n"))), F.lit(0)).alias("misaligned_sentences"), sentences.alias("sentences"))
+    return gate(missing(symbols, vocabulary), counted)
+
+
 def final_forms(rows: DataFrame, text: str, final: str = KAF, top: int = 8) -> DataFrame:
     """The most frequent skeletons of over two letters that end with ``final``."""
     skeletons = rows.select(F.explode(tokens(F.col(text))).alias("w")).select(undiacritize(F.col("w")).alias("skeleton"))
