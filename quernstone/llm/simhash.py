@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable, Iterable, Iterator
 
@@ -15,8 +16,9 @@ from quernstone.llm.common import connected_components, cut_lineage
 
 #: Seed of the shingle hash, and the names of a set's fingerprints.
 SEED, PRINTS = 42, ("a", "b", "c", "d")
-#: So many shingles are counted in a task before their counts are handed on.
-COUNTED = 1 << 21
+#: So many shingles are counted in a task before their counts are handed on, and ranges of hashes are as many as make
+#: so many bytes of text for each.
+COUNTED, RANGE = 1 << 21, 1 << 22
 
 
 def shingle_hashes(text: bytes | None, shingle: int = 3) -> np.ndarray:
@@ -198,10 +200,33 @@ def second_keys(found: np.ndarray, common: np.ndarray, similarity: float, probes
     return rare, found[np.concatenate((first[:rare][:probes], first[rare:][:probes]))]
 
 
+def packed(found: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """Sorted different hashes and their counts, by ranges of equal first ``bits``: range, bytes of a gap, gaps, counts.
+
+    Of each hash only the gap to the one before it, or to the range's start, is kept, in as many bytes as the range's
+    widest gap needs: 6 instead of 8 where two million hashes are packed together.
+    """
+    shift = np.uint64(64 - bits)
+    parts, starts = np.unique(found >> shift, return_index=True)
+    for part, a, b in zip(parts, starts, [*starts[1:], len(found)]):
+        gaps = np.diff(found[a:b], prepend=part << shift)
+        wide = max(1, (int(gaps.max()).bit_length() + 7) // 8)
+        yield int(part), wide, gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].tobytes(), counts[a:b].astype("<u4").tobytes()
+
+
+def unpacked(part: int, wide: int, gaps: bytes, counts: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of one row of ``packed``."""
+    whole = np.zeros((len(gaps) // wide, 8), np.uint8)
+    whole[:, :wide] = np.frombuffer(gaps, np.uint8).reshape(-1, wide)
+    found = np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64) + (np.uint64(part) << np.uint64(64 - bits))
+    return found, np.frombuffer(counts, "<u4").astype(np.int64)
+
+
 def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str, broadcast_ids: int = 1 << 20, most: int = 100_000) -> np.ndarray:
     """The ``most`` shingles that are in most texts, in three at least, most frequent first. They order, and decide nothing.
 
-    Each text of the table is counted, copies of one text once, and rows without an id not at all.
+    Each text of the table is counted, copies of one text once, and rows without an id not at all. A task's counts are
+    moved packed, by ranges of the hashes; there are more ranges in larger tables, so what is held of one is bounded.
     """
     docs = docs.filter(F.col(id_col).isNotNull())
     named = docs.select(F.xxhash64(text_col).alias("of"), F.col(id_col).alias("id"))
@@ -209,11 +234,14 @@ def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str,
     copies = cut_lineage(named.join(first, "of").filter("id <> first").select(F.col("id").alias(id_col)).distinct())
     few = copies.count() <= broadcast_ids
     once = docs.select(id_col, text_col).join(F.broadcast(copies) if few else copies, id_col, "left_anti")
+    size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
+    bits = max(8, (size // RANGE).bit_length())
 
-    def summed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        s, n = np.unique(np.concatenate(held), return_counts=True)
-        for k in range(0, len(s), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(s[k : k + (1 << 16)].view(np.int64)), pa.array(n[k : k + (1 << 16)])], names=["s", "n"])
+    def handed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = packed(*np.unique(np.concatenate(held), return_counts=True), bits)
+        while some := list(itertools.islice(rows, 64)):
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*some), kinds)], names=["part", "wide", "gaps", "counts"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -222,13 +250,28 @@ def _common_shingles(docs: DataFrame, shingle: int, id_col: str, text_col: str,
                 held.append(_set_of(t.as_py(), shingle)[1])
                 size += len(held[-1])
                 if size >= COUNTED:
-                    yield from summed(held)
+                    yield from handed(held)
                     held, size = [], 0
         if held:
-            yield from summed(held)
-
-    counts = once.select(text_col).mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    rows = counts.filter("n > 2").orderBy(F.desc("n"), "s").limit(most).select("s").collect()
+            yield from handed(held)
+
+    def summed(rows: pa.Table) -> pa.Table:
+        found, n = (np.concatenate(x) for x in zip(*(unpacked(*(v.as_py() for v in row), bits) for row in zip(*(rows[c] for c in ("part", "wide", "gaps", "counts"))))))
+        order = np.argsort(found)
+        found, n = found[order], n[order]
+        at = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+        n = np.add.reduceat(n, at)
+        return pa.table({"s": found[at[n > 2]].view(np.int64), "n": n[n > 2]})
+
+    ranges = once.select(text_col).mapInArrow(run, "part int, wide int, gaps binary, counts binary")
+    counts = cut_lineage(ranges.groupBy("part").applyInArrow(summed, "s long, n long"))
+    # Rows below the least count that can be wanted don't go to the driver.
+    least, above = 0, 0
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("rows")).collect(), reverse=True):
+        least, above = r.n, above + r.rows
+        if above >= most:
+            break
+    rows = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "s").limit(most).select("s").collect()
     return np.array([r.s for r in rows], np.int64).view(np.uint64)
 
 
